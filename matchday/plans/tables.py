@@ -128,7 +128,12 @@ def _repeated(joined: DataFrame, columns: Sequence[str], weight: str | None) ->
 
 
 def weekly_score_rows(
-    games: DataFrame, team_stats: DataFrame, weight: str | None = None, policy: SkewPolicy = DEFAULT_POLICY
+    games: DataFrame,
+    team_stats: DataFrame,
+    columns: Sequence[str] = (*SCORE_SIDE_MEASURES, "kicking_points"),
+    keep: Sequence[str] | None = None,
+    weight: str | None = None,
+    policy: SkewPolicy = DEFAULT_POLICY,
 ) -> DataFrame:
     """Games with both sides' statistics and kicking points.
 
@@ -138,10 +143,9 @@ def weekly_score_rows(
     """
     kicking = A.kicking_stats(A.score_data(games, team_stats, policy))
     counted = kicking.groupBy("team", "season", "week", "kicking_points").agg(F.count(F.lit(1)).alias("kicking_rows"))
-    columns = [*SCORE_SIDE_MEASURES, "kicking_points"]
     sides = _with_kicking_rows(team_stats, counted, columns)
     joined = join_sides(games, sides, [*columns, REPEAT], policy=policy)
-    return _repeated(joined, [*_game_columns(), *both_sides(columns)], weight)
+    return _repeated(joined, [*(_game_columns() if keep is None else keep), *both_sides(columns)], weight)
 
 
 def _game_columns() -> list[str]:
