@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from matchday.config import AWAY, HOME, MEASURES, TEAM_KEYS, WEEKLY_MEASURES
 from matchday.functions import scalars as S
-from matchday.functions.projections import fill_zero, q, strip_suffix
+from matchday.functions.projections import fill_zero, q
 from matchday.operators.joins import KEY, join_sides, unpivot_sides
 from matchday.operators.quantiles import exact_percentiles
 from matchday.operators.skew import DEFAULT_POLICY, SkewPolicy
@@ -52,6 +52,7 @@ def score_data(games: DataFrame, team_stats: DataFrame, policy: SkewPolicy = DEF
         ["touchdown_points"],
         on=[("week", "week"), ("season", "season"), ("game_type", "season_type")],
         spread_by=["home_team", "away_team"],
+        hot_in=games,
         policy=policy,
     )
 
@@ -91,35 +92,36 @@ def kicking_counts(games: DataFrame) -> DataFrame:
 _PLAIN = {"mean": F.avg, "sum": lambda c: F.coalesce(F.sum(c), F.lit(0.0))}
 
 
-def profile(df: DataFrame, key: str, spec: Mapping[str, str]) -> DataFrame:
-    """Mean, median or sum of columns per key; rows without key are left out.
+def profile(df: DataFrame, keys: Sequence[str], spec: Mapping[str, str]) -> DataFrame:
+    """Mean, median or sum of columns per group; rows without a key are left out.
 
     Sums of nothing are 0, means and medians skip NULLs. Medians are exact and computed without
-    gathering a group in one task.
+    gathering a group in one task; they read ``df`` a second time.
     """
-    rows = df.where(q(key).isNotNull())
+    rows = df.dropna(subset=list(keys))
     plain = [_PLAIN[how](q(c)).alias(c) for c, how in spec.items() if how != "median"]
-    out = rows.groupBy(key).agg(F.count(F.lit(1)).alias("__rows"), *plain).drop("__rows")
+    out = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias(KEY + "rows"), *plain)
     medians = [c for c, how in spec.items() if how == "median"]
     if medians:
-        half = exact_percentiles(rows, [key], medians, [0.5])
-        wide = half.groupBy(q(key).alias(KEY + key)).agg(
-            *[F.max(F.when(q("metric") == c, q("p50"))).alias(c) for c in medians]
-        )
-        out = out.join(wide, out[key] == wide[KEY + key], "left").drop(KEY + key)
-    return out.select(key, *spec)
+        half = exact_percentiles(rows, keys, medians, [0.5])
+        wide = half.groupBy(*keys).agg(*[F.max(F.when(q("metric") == c, q("p50"))).alias(c) for c in medians])
+        out = out.join(wide, list(keys), "left")
+    return out.select(*keys, *spec)
 
 
-def side_profiles(games: DataFrame, spec: Mapping[str, str]) -> tuple[DataFrame, DataFrame]:
-    """Home profile per home team and away profile per away team, with plain column names."""
-    home = profile(games, "home_team", {c + HOME: how for c, how in spec.items()})
-    away = profile(games, "away_team", {c + AWAY: how for c, how in spec.items()})
-    return strip_suffix(home, "home_team", HOME), strip_suffix(away, "away_team", AWAY)
+def side_profiles(games: DataFrame, spec: Mapping[str, str]) -> DataFrame:
+    """Profile per ``(side, team)``: home teams from home games, away teams from away games.
+
+    ``games`` holds each measure once per side. Both sides go through one aggregation.
+    """
+    marked = games.select("*", F.lit("home").alias(KEY + HOME), F.lit("away").alias(KEY + AWAY))
+    rows = unpivot_sides(marked, [], side=(KEY + HOME, KEY + AWAY), **{c: (c + HOME, c + AWAY) for c in spec})
+    return profile(rows, ["side", "team"], spec)
 
 
 def mean_profile(weekly: DataFrame, measures: Sequence[str] = WEEKLY_MEASURES) -> DataFrame:
     """Mean of every measure per team."""
-    return profile(weekly, "recent_team", {m: "mean" for m in measures})
+    return profile(weekly, ["recent_team"], {m: "mean" for m in measures})
 
 
 def null_counts(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:

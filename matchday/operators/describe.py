@@ -14,9 +14,9 @@ from pyspark.sql import functions as F
 from matchday.functions import scalars as S
 from matchday.functions.projections import q
 from matchday.operators.quantiles import (
-    approximate_percentiles,
-    exact_percentiles,
     melt,
+    percentile_columns,
+    percentile_name,
     percentiles_of_ranked,
     ranked_values,
 )
@@ -46,19 +46,38 @@ def _prefixed(df: DataFrame, keys: Sequence[str], prefix: str) -> DataFrame:
     return df.withColumnsRenamed({k: prefix + k for k in [*keys, "metric"]})
 
 
-def describe(df: DataFrame, keys: Sequence[str], metrics: Sequence[str], approximate: bool = False) -> DataFrame:
-    """Count, mean, sample deviation, minimum, quartiles and maximum per group and metric."""
-    moments = melt(df, keys, metrics).groupBy(*keys, "metric").agg(
+def describe(df: DataFrame, keys: Sequence[str], metrics: Sequence[str]) -> DataFrame:
+    """Count, mean, sample deviation, minimum, exact quartiles and maximum per group and metric.
+
+    Everything comes from the ranked distinct values, so ``df`` is computed once.
+    """
+    ranked = ranked_values(df, keys, metrics)
+    off = q("value") - q("mean")
+    return ranked.groupBy(*keys, "metric").agg(
+        F.sum("n").alias("count"),
+        F.max("mean").alias("mean"),
+        F.sqrt(F.try_divide(F.sum(q("n") * off * off), F.sum("n") - 1)).alias("std"),
+        F.min("value").alias("min"),
+        *percentile_columns(QUARTILES),
+        F.max("value").alias("max"),
+    )
+
+
+def describe_approximately(
+    df: DataFrame, keys: Sequence[str], metrics: Sequence[str], accuracy: int = 10_000
+) -> DataFrame:
+    """:func:`describe` in one pass; the rank of a quartile is off by at most ``1 / accuracy``."""
+    sketch = F.percentile_approx("value", [float(p) for p in QUARTILES], accuracy)
+    one_pass = melt(df, keys, metrics).groupBy(*keys, "metric").agg(
         F.count("value").alias("count"),
         F.avg("value").alias("mean"),
         F.stddev_samp("value").alias("std"),
         F.min("value").alias("min"),
+        sketch.alias("p"),
         F.max("value").alias("max"),
     )
-    quantiles = approximate_percentiles if approximate else exact_percentiles
-    quartiles = _prefixed(quantiles(df, keys, metrics, QUARTILES), keys, "q_")
-    joined = moments.join(quartiles, _same_group(keys, "q_"))
-    return joined.select(*keys, "metric", "count", "mean", "std", "min", "p25", "p50", "p75", "max")
+    quartiles = [F.col("p")[k].alias(percentile_name(p)) for k, p in enumerate(QUARTILES)]
+    return one_pass.select(*keys, "metric", "count", "mean", "std", "min", *quartiles, "max")
 
 
 def correlation(df: DataFrame, metrics: Sequence[str]) -> DataFrame:

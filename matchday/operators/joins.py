@@ -36,17 +36,19 @@ def join_sides(
     spread_by: Sequence[str] = ("game_id",),
     null_safe: bool = False,
     suffixes: tuple[str, str] = (HOME, AWAY),
+    hot_in: DataFrame | None = None,
     policy: SkewPolicy = DEFAULT_POLICY,
 ) -> DataFrame:
     """``games`` left-joined with ``stats`` of the home side and of the away side.
 
     ``on`` pairs game columns with statistics columns, next to the team itself. Both joins read the
     same ``stats`` columns under the same keys, so Spark computes and shuffles ``stats`` once. A
-    team that plays in a large share of the games is salted.
+    team that plays in a large share of the games is salted; ``hot_in`` names a cheaper frame with
+    the same keys to look for such teams in, where ``games`` is already a long plan.
     """
     game_keys = [g for g, _ in on]
     stat_keys = [team, *[s for _, s in on]]
-    hot = hot_keys(games, {"home": ["home_team", *game_keys], "away": ["away_team", *game_keys]}, policy)
+    hot = hot_keys(games if hot_in is None else hot_in, {"home": ["home_team", *game_keys], "away": ["away_team", *game_keys]}, policy)
     out = games
     for side, suffix in zip(("home", "away"), suffixes):
         right = _side(stats, stat_keys, columns, suffix, "_" + side)

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 from functools import reduce
 from operator import and_, or_
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from matchday.functions.projections import q
@@ -21,7 +21,7 @@ def melt(df: DataFrame, keys: Sequence[str], metrics: Sequence[str]) -> DataFram
 
 
 def ranked_values(df: DataFrame, keys: Sequence[str], metrics: Sequence[str]) -> DataFrame:
-    """Distinct values with the ranks they cover: ``(keys, metric, value, n, first, last, total)``.
+    """Distinct values with the ranks they cover: ``(keys, metric, value, n, first, last, total, mean)``.
 
     Equal values are counted first. Spark then range-partitions the distinct ones, so that even a
     single hot group is cut into slices; the slices are written with their number, which fixes the
@@ -34,16 +34,19 @@ def ranked_values(df: DataFrame, keys: Sequence[str], metrics: Sequence[str]) ->
     cut = materialise(cut.withColumn("slice", F.spark_partition_id()), "quantiles")
 
     of_group = Window.partitionBy(*group)
-    sizes = cut.groupBy(*group, "slice").agg(F.sum("n").alias("rows"))
+    sizes = cut.groupBy(*group, "slice").agg(
+        F.sum("n").alias("rows"), F.sum(q("n") * q("value")).alias("mass")
+    )
     offsets = sizes.select(
         *[q(c).alias(f"o_{c}") for c in [*group, "slice"]],
         (F.sum("rows").over(of_group.orderBy("slice")) - q("rows")).alias("before"),
         F.sum("rows").over(of_group).alias("total"),
+        (F.sum("mass").over(of_group) / F.sum("rows").over(of_group)).alias("mean"),
     )
     same = reduce(and_, (q(c).eqNullSafe(q(f"o_{c}")) for c in [*group, "slice"]))
     in_slice = Window.partitionBy(*group, "slice").orderBy("value")
     last = q("before") + F.sum("n").over(in_slice) - 1
-    ranked = cut.join(offsets, same).select(*group, "value", "n", "total", last.alias("last"))
+    ranked = cut.join(offsets, same).select(*group, "value", "n", "total", "mean", last.alias("last"))
     return ranked.withColumn("first", q("last") - q("n") + 1)
 
 
@@ -51,24 +54,31 @@ def percentile_name(p: float) -> str:
     return f"p{round(p * 100):02d}"
 
 
-def percentiles_of_ranked(ranked: DataFrame, keys: Sequence[str], probabilities: Sequence[float]) -> DataFrame:
-    """Linearly interpolated percentiles, one column per probability, from ranked values."""
-    def bounds(p: float):
-        position = (q("total") - 1) * F.lit(float(p))
-        return position, F.floor(position), F.ceil(position)
+def _position(p: float) -> Column:
+    return (q("total") - 1) * F.lit(float(p))
+
 
-    def covers(rank):
-        return (q("first") <= rank) & (rank <= q("last"))
+def _covers(rank: Column) -> Column:
+    return (q("first") <= rank) & (rank <= q("last"))
 
-    needed = reduce(or_, (covers(r) for p in probabilities for r in bounds(p)[1:]))
+
+def percentile_columns(probabilities: Sequence[float]) -> list[Column]:
+    """Aggregates over ranked values that yield linearly interpolated percentiles."""
     picked = []
     for p in probabilities:
-        position, low, high = bounds(p)
-        at_low = F.max(F.when(covers(low), q("value")))
-        at_high = F.max(F.when(covers(high), q("value")))
-        share = F.max(position - low)
+        position = _position(p)
+        at_low = F.max(F.when(_covers(F.floor(position)), q("value")))
+        at_high = F.max(F.when(_covers(F.ceil(position)), q("value")))
+        share = F.max(position - F.floor(position))
         picked.append((at_low + (at_high - at_low) * share).alias(percentile_name(p)))
-    return ranked.where(needed).groupBy(*keys, "metric").agg(*picked)
+    return picked
+
+
+def percentiles_of_ranked(ranked: DataFrame, keys: Sequence[str], probabilities: Sequence[float]) -> DataFrame:
+    """One column per probability, from the few ranked values that the percentiles fall on."""
+    ranks = [edge(_position(p)) for p in probabilities for edge in (F.floor, F.ceil)]
+    needed = reduce(or_, (_covers(r) for r in ranks))
+    return ranked.where(needed).groupBy(*keys, "metric").agg(*percentile_columns(probabilities))
 
 
 def exact_percentiles(
@@ -76,19 +86,3 @@ def exact_percentiles(
 ) -> DataFrame:
     """Exact percentiles of ``metrics`` per group, as ``(keys, metric, p25, ...)``."""
     return percentiles_of_ranked(ranked_values(df, keys, metrics), keys, probabilities)
-
-
-def approximate_percentiles(
-    df: DataFrame,
-    keys: Sequence[str],
-    metrics: Sequence[str],
-    probabilities: Sequence[float],
-    accuracy: int = 10_000,
-) -> DataFrame:
-    """One-pass sketch form of :func:`exact_percentiles`; rank error at most ``1 / accuracy``."""
-    wanted = F.array(*[F.lit(float(p)) for p in probabilities])
-    sketched = melt(df, keys, metrics).groupBy(*keys, "metric").agg(
-        F.percentile_approx("value", wanted, accuracy).alias("p")
-    )
-    columns = [F.col("p")[i].alias(percentile_name(p)) for i, p in enumerate(probabilities)]
-    return sketched.select(*keys, "metric", *columns)

@@ -36,19 +36,23 @@ def _key_hash(keys: Sequence[Column]) -> Column:
 def hot_keys(
     df: DataFrame, key_sets: Mapping[str, Sequence[str]], policy: SkewPolicy = DEFAULT_POLICY
 ) -> dict[str, list[int]]:
-    """Hashes of the hot keys of each key set, found in one pass.
+    """Hashes of the hot keys of each key set.
 
-    Each task reduces its rows to a frequent-items sketch of fixed size, so no key is shuffled and
-    at most ``1 / share`` hashes per key set reach the driver. The sketch only decides where rows
-    are salted; a wrong guess costs balance, never rows.
+    A table below ``min_rows`` rows is only counted. Otherwise one pass finds the keys: each task
+    reduces its rows to a frequent-items sketch of fixed size, so no key is shuffled and at most
+    ``1 / share`` hashes per key set reach the driver. The sketch only decides where rows are
+    salted; a wrong guess costs balance, never rows.
     """
+    rows = df.count()
+    if rows < policy.min_rows:
+        return {name: [] for name in key_sets}
     limit = int(1 / policy.share)
     sketches = [
         F.expr(f"approx_top_k(xxhash64({', '.join(f'`{k}`' for k in keys)}), {limit}, {limit * 32})").alias(name)
         for name, keys in key_sets.items()
     ]
-    found = df.agg(F.count(F.lit(1)).alias("__rows"), *sketches).first()
-    bar = max(policy.min_rows, policy.share * found["__rows"])
+    found = df.agg(*sketches).first()
+    bar = max(policy.min_rows, policy.share * rows)
     return {name: [item["item"] for item in (found[name] or []) if item["count"] >= bar] for name in key_sets}
 
 

@@ -8,10 +8,12 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
-from matchday.config import SeasonConfig
+from matchday.config import PROFILE_SPEC, SeasonConfig, both_sides
+from matchday.functions.predicates import cutoff_rows, training_rows
 from matchday.operators import aggregate as A
 from matchday.plans import tables
 from matchday.sources import star_schema
+from matchday.workspace import materialise
 
 
 class Inputs:
@@ -50,6 +52,18 @@ class Inputs:
     def base_model(self) -> DataFrame:
         return tables.base_model(self.schedule, self.weekly_scores)
 
+    @cached_property
+    def profile_history(self) -> DataFrame:
+        """What the side profiles read of the base model, as a written table: they read it twice."""
+        rows = self.base_model.where(training_rows(self.cfg) & cutoff_rows(self.cfg.cutoff_week))
+        columns = ["season", "week", "home_team", "away_team", *both_sides(PROFILE_SPEC)]
+        return materialise(rows.select(*columns), "profile-history")
+
+    @cached_property
+    def stored_team_stats(self) -> DataFrame:
+        """Team statistics as a written table, for queries that read them several times."""
+        return materialise(self.team_stats, "team-stats")
+
     @cached_property
     def team_results(self) -> DataFrame:
         return tables.team_results(self.team_stats, self.games)

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from matchday.config import (
     GAME_FEATURES,
@@ -16,7 +15,6 @@ from matchday.config import (
     WEEKLY_MEASURES,
 )
 from matchday.functions.predicates import target_rows, training_rows
-from matchday.functions.projections import q
 from matchday.operators import aggregate as A
 from matchday.operators import joins as J
 from matchday.plans import features as X
@@ -79,7 +77,7 @@ FROM int_schedules AS s {SIDE_JOIN} {KICKING_JOIN}
 
 @query("join_kicking", with_tables(_KICKED, "int_schedules", "int_team_stats", "kicking_stats"))
 def join_kicking(i: Inputs) -> DataFrame:
-    return T.weekly_score_rows(i.games, i.team_stats, columns=["kicking_points"], keep=PLACE)
+    return T.weekly_score_rows(i.games, i.stored_team_stats, columns=["kicking_points"], keep=PLACE)
 
 
 _SCORES = f"""
@@ -92,7 +90,7 @@ FROM int_schedules AS s {SIDE_JOIN} {KICKING_JOIN}
 
 @query("int_weekly_score", with_tables(_SCORES, "int_schedules", "int_team_stats", "kicking_stats"))
 def int_weekly_score(i: Inputs) -> DataFrame:
-    return T.weekly_score_rows(i.games, i.team_stats)
+    return T.weekly_score_rows(i.games, i.stored_team_stats)
 
 
 @query("rf_training_data", TRAINING_SQL)
@@ -147,8 +145,7 @@ WHERE s.season = {CURRENT} AND s.week = {TARGET}
 
 @query("join_profile", with_tables(_PROFILED, "schedules", "history"))
 def join_profile(i: Inputs) -> DataFrame:
-    history = i.base_model.where(training_rows(i.cfg))
-    return X.profile_features(i.schedule, history, i.cfg)
+    return X.profile_features(i.schedule, i.profile_history, i.cfg)
 
 
 _SINGLE = f"""
@@ -201,7 +198,7 @@ LEFT JOIN kicking_avg AS ak ON ak.team = s.away_team AND ak.season = s.season AN
 
 @query("join_lag_features_kicking", with_tables(_LAG_KICKED, "int_schedules", "lag_profile", "kicking_avg"))
 def join_lag_features_kicking(i: Inputs) -> DataFrame:
-    return X.lag_feature_rows_with_kicking(i.games, i.team_stats, i.cfg)
+    return X.lag_feature_rows_with_kicking(i.games, i.stored_team_stats, i.cfg)
 
 
 @query("join_anti_new", table("stg_weekly_scores", LINE, f"NOT {STORED}"))
@@ -215,9 +212,7 @@ def join_anti_new(i: Inputs) -> DataFrame:
     "history",
 ))
 def agg_profile_sides(i: Inputs) -> DataFrame:
-    history = i.base_model.where(training_rows(i.cfg)).where(q("week") <= CUTOFF)
-    home, away = A.side_profiles(history, PROFILE_SPEC)
-    return home.withColumn("side", F.lit("home")).unionByName(away.withColumn("side", F.lit("away")))
+    return A.side_profiles(i.profile_history, PROFILE_SPEC)
 
 
 @query("agg_profile_mean", with_tables(MEAN_PROFILE, "weekly_scores"))

@@ -65,8 +65,8 @@ _FILLED = ", ".join(f"coalesce({m}, 0) AS {m}" for m in WEEKLY_MEASURES)
 
 # name -> (tables it reads, text)
 TABLES: dict[str, tuple[tuple[str, ...], str]] = {
-    "stg_schedules": ((), SCHEDULES_SQL.format(orders="orders")),
-    "stg_weekly_scores": ((), WEEKLY_SQL.format(orders="orders", lineitem="lineitem")),
+    "stg_schedules": ((), SCHEDULES_SQL.format(orders="orders", all_orders="orders")),
+    "stg_weekly_scores": ((), WEEKLY_SQL.format(orders="orders", all_orders="orders", lineitem="lineitem")),
     "int_schedules": (
         ("stg_schedules",),
         f"""

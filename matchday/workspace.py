@@ -32,10 +32,13 @@ def materialise(df: DataFrame, label: str, partition_by: tuple[str, ...] = ()) -
     """Write ``df`` once and continue from the written table.
 
     Cuts the lineage, survives the loss of executors and stays columnar, so later scans of the
-    result prune columns, and partitions where ``partition_by`` is given.
+    result prune columns, and partitions where ``partition_by`` is given. Rows are then gathered by
+    partition first, so that a task does not open a file in every one; Spark splits the large ones.
     """
     path = new_folder(df.sparkSession, label)
     schema = df.schema
+    if partition_by:
+        df = df.hint("rebalance", *partition_by)
     df.write.partitionBy(*partition_by).parquet(path)
     back = df.sparkSession.read.schema(schema).parquet(path)
     return back.select(*[f"`{f.name}`" for f in schema.fields])
