@@ -21,7 +21,7 @@ class SkewPolicy:
     task whatever its share is.
     """
 
-    share: float = 1 / 256
+    share: float = 1 / 2000
     min_rows: int = 1_000_000
     salts: int = 64
 
