@@ -5,16 +5,14 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from matchday.config import GAME_FEATURES, SIDE_FEATURES, both_sides
-from matchday.functions.predicates import any_null
 from matchday.functions.projections import q
 from matchday.operators.aggregate import null_counts
 from matchday.plans.backtest import favourite_baseline
 from matchday.plans.features import INPUT_COLUMNS, lag_feature_rows
 from matchday.plans.template import target_week_query
-from matchday.plans.training import ForestSettings, fit_forest, predict
+from matchday.plans.training import ForestSettings, fit_forest, predict, split_features
 from matchday.registry import Inputs, query
 from matchday.registry.oracle import CURRENT, CUTOFF, TARGET, columns, table, with_tables
 from matchday.sources import feeds, sinks
@@ -190,6 +188,14 @@ def sink_debug(i: Inputs) -> DataFrame:
     return i.spark.read.schema(rows.schema).parquet(path)
 
 
+@query("sink_training_snapshot", table("int_schedules", [*GAME_FEATURES, "outcome"]))
+def sink_training_snapshot(i: Inputs) -> DataFrame:
+    path = _path(i, "training")
+    rows = split_features(i.games.select("game_id", "home_team", "away_team", *GAME_FEATURES, "outcome"))
+    sinks.write_training_snapshot(rows, path)
+    return i.spark.read.schema(rows.schema).parquet(path)
+
+
 @query("sink_model")
 def sink_model(i: Inputs) -> DataFrame:
     path = _path(i, "model")

@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from matchday.config import MEASURES
+from matchday.operators.skew import DEFAULT_POLICY, SkewPolicy, hot_keys, salted_join
 
 PERIODS_SQL = """
 SELECT o_orderkey, o_custkey, o_orderstatus, o_orderdate,
@@ -93,19 +94,27 @@ _MEASURES_SQL = ",\n       ".join(_measure(i, name) for i, name in enumerate(MEA
 
 # The shared parts of all measures are computed once per line: 31 copies of the whole arithmetic
 # would make a generated method too large for the JVM to compile.
-WEEKLY_SQL = f"""
+LINES_SQL = """
+SELECT l_orderkey,
+       CAST(l_orderkey % 11 AS INT) AS order_class,
+       CAST(l_quantity AS BIGINT) * 3 + l_linenumber * 7 + l_partkey AS base,
+       CAST(l_quantity AS BIGINT) + l_partkey AS step
+FROM {lineitem}
+"""
+
+STATISTICS_SQL = f"""
 SELECT CASE WHEN h <= 1 THEN 'LV' ELSE concat('T', CAST(h AS STRING)) END AS recent_team,
        season, week,
        CASE WHEN week <= 18 THEN 'REG' ELSE 'POST' END AS season_type,
        {_MEASURES_SQL}
-FROM (SELECT l_orderkey,
-             CAST(l_orderkey % 11 AS INT) AS order_class,
-             CAST(l_quantity AS BIGINT) * 3 + l_linenumber * 7 + l_partkey AS base,
-             CAST(l_quantity AS BIGINT) + l_partkey AS step
-      FROM {{lineitem}}) AS line
-JOIN ({PERIODS_SQL}) AS periods ON l_orderkey = o_orderkey
+FROM {{lines_in_period}}
 """
 
+# The whole view as one text, for engines that join without help.
+WEEKLY_SQL = STATISTICS_SQL.replace(
+    "{lines_in_period}", f"({LINES_SQL}) AS line JOIN ({PERIODS_SQL}) AS periods ON l_orderkey = o_orderkey"
+)
+
 
 def _read(spark: SparkSession, folder: str, table: str, key: str) -> DataFrame:
     """Scan of one table. A file too small to be split is spread over the idle cores by ``key``.
@@ -123,7 +132,11 @@ def schedules(spark: SparkSession, folder: str) -> DataFrame:
     return spark.sql(SCHEDULES_SQL, orders=orders, all_orders=all_orders)
 
 
-def weekly_scores(spark: SparkSession, folder: str) -> DataFrame:
+def weekly_scores(spark: SparkSession, folder: str, policy: SkewPolicy = DEFAULT_POLICY) -> DataFrame:
+    """One row per line item; an order that holds a large share of all lines is salted."""
     orders = spark.read.parquet(f"{folder}/orders.parquet")
-    lineitem = _read(spark, folder, "lineitem", "l_orderkey")
-    return spark.sql(WEEKLY_SQL, orders=orders, all_orders=orders, lineitem=lineitem)
+    periods = spark.sql(PERIODS_SQL, orders=orders, all_orders=orders)
+    hot = hot_keys(spark.read.parquet(f"{folder}/lineitem.parquet"), {"order": ["l_orderkey"]}, policy)["order"]
+    lines = spark.sql(LINES_SQL, lineitem=_read(spark, folder, "lineitem", "l_orderkey"))
+    joined = salted_join(lines, periods, [("l_orderkey", "o_orderkey")], ["base", "step"], hot, "inner", policy=policy)
+    return spark.sql(STATISTICS_SQL, lines_in_period=joined)

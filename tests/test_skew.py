@@ -1,7 +1,7 @@
 """A key that holds a third of all rows changes how joins run, not what they return."""
 
 import numpy as np
-from conftest import rows
+from conftest import FOLDER, rows
 from pyspark.sql import functions as F
 
 from matchday.operators import aggregate as A
@@ -10,6 +10,7 @@ from matchday.operators.quantiles import exact_percentiles, ranked_values
 from matchday.operators.sampling import in_training_part, with_folds
 from matchday.operators.skew import SkewPolicy, broadcast_if_small, hot_keys, keyed_join, salted_join
 from matchday.plans import tables as T
+from matchday.sources import star_schema
 
 EAGER = SkewPolicy(share=1 / 50, min_rows=10, salts=8)
 
@@ -138,3 +139,15 @@ def test_folds_are_balanced_and_stable(spark):
 def test_split_share(spark):
     df = spark.range(20000).select(F.col("id").cast("string").alias("k"))
     assert abs(df.where(in_training_part(F.col("k"))).count() / 20000 - 0.7) < 0.02
+
+
+def test_lines_of_a_hot_order(spark, tmp_path):
+    lines = spark.read.parquet(f"{FOLDER}/lineitem.parquet")
+    third = F.pmod(F.xxhash64(*lines.columns), F.lit(3)) == 0
+    lines.withColumn("l_orderkey", F.when(third, F.lit(7)).otherwise(F.col("l_orderkey"))).write.parquet(f"{tmp_path}/lineitem.parquet")
+    spark.read.parquet(f"{FOLDER}/orders.parquet").write.parquet(f"{tmp_path}/orders.parquet")
+    columns = ["recent_team", "season", "week", "carries", "sacks"]
+    plain = star_schema.weekly_scores(spark, str(tmp_path)).select(*columns)
+    salted = star_schema.weekly_scores(spark, str(tmp_path), EAGER).select(*columns)
+    assert "__salt" in salted._jdf.queryExecution().optimizedPlan().toString()
+    assert rows(plain) == rows(salted)
