@@ -6,7 +6,7 @@ import uuid
 
 from pyspark.sql import DataFrame
 
-from matchday.config import GAME_FEATURES, SIDE_FEATURES, both_sides
+from matchday.config import GAME_FEATURES, SIDE_FEATURES
 from matchday.functions.projections import q
 from matchday.operators.aggregate import null_counts
 from matchday.plans.backtest import favourite_baseline

@@ -5,7 +5,6 @@ import uuid
 import pytest
 from conftest import rows
 from pyspark.errors import AnalysisException
-from pyspark.sql import functions as F
 
 from matchday.sources import feeds, sinks
 from matchday.streaming.incremental import import_stream
