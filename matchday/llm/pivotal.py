@@ -20,9 +20,10 @@ def source_targets(sizes: DataFrame, weights: tuple[float, ...], share: float, m
 
     Sources in code point order, null last, take the weights in turn. They divide ``share`` of all
     sizes by weight; no target exceeds ``most`` times its source, and the excess goes to the others by
-    weight until none is above. That is a common rate per weight: with the sources ordered by the rate
-    at which they are full, the first that is not full at the rate left for it and all after it gives
-    the rate. The table has a row per source, and only its sums are ordered.
+    weight until none is above. That is a common rate per weight. Order the sources by the rate at
+    which they are full, and fill those before a place: the rate left for the rest rises as long as
+    that fills sources below it and falls afterwards, so the largest is the common one. The table has
+    a row per source.
     """
     in_order = Window.orderBy(F.asc_nulls_last("source"))
     turn = F.array(*[F.lit(float(w)) for w in weights])
