@@ -63,3 +63,23 @@ def components(nodes_and_links: DataFrame, label: str) -> DataFrame:
                 stepped.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()
             )
         links = stepped
+
+
+def held_out(id_col: Column) -> Column:
+    """The quarter of ids that no model learns from; a null id counts as empty text."""
+    return F.crc32(F.coalesce(id_col.cast("string"), F.lit("")).cast("binary")) % 4 == 2
+
+
+def sampled(rows: DataFrame, label: str, per_label: int, *key: str, most_labels: int = 1000) -> DataFrame:
+    """About ``per_label`` rows of every non-null label (all, if it has fewer), drawn by a hash of ``key``.
+
+    For the training of models, which see a bounded number of rows whatever the table.
+    """
+    rows = rows.where(F.col(label).isNotNull())
+    counts = {r[0]: r[1] for r in rows.groupBy(label).count().limit(most_labels + 1).collect()}
+    if len(counts) > most_labels:
+        raise ValueError(f"more than {most_labels} labels")
+    if not counts:
+        return rows
+    rates = F.create_map(*[F.lit(x) for name, n in counts.items() for x in (name, min(1.0, per_label / n))])
+    return rows.where(unit_draw(*[F.col(k) for k in key], F.lit("sample")) < F.element_at(rates, F.col(label)))

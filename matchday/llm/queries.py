@@ -7,7 +7,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from matchday.llm import byte_bpe, cqf, hash_tree, pivotal
+from matchday.llm import byte_bpe, byte_cnn, cqf, crf, hash_tree, pivotal
+from matchday.llm.common import held_out
 
 #: The vocabulary of the token queries; another rank file may take its place.
 RANKS, PATTERN = public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
@@ -18,6 +19,13 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op2_byte_cnn(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents")
+    model = byte_cnn.train(docs, ~held_out(F.col("doc_id")))
+    found = byte_cnn.identify(docs.select("doc_id", "text"), model)
+    return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+
+
 def op5_pivotal_mix(spark: SparkSession, folder: str) -> DataFrame:
     plan = pivotal.mixed(_table(spark, folder, "documents"))
     return plan.select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken", "source", "copies")
@@ -34,6 +42,13 @@ def op6_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op8_toxic_crf(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents")
+    model = crf.train(docs, _table(spark, folder, "labels"), ~held_out(F.col("doc_id")))
+    found = crf.tag(docs.select("doc_id", "text"), model)
+    return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", "predicted", "spans")
+
+
 def op9_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     classes = cqf.exact_classes(_table(spark, folder, "documents"))
     return classes.select(F.col("id").alias("doc_id"), "keep_id", "group_size", "kept", "text_sha256")
@@ -58,8 +73,10 @@ SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(t) AS text_
 """
 
 QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {
+    "op2_byte_cnn": (op2_byte_cnn, None),
     "op5_pivotal_mix": (op5_pivotal_mix, None),
     "op6_byte_bpe": (op6_byte_bpe, None),
+    "op8_toxic_crf": (op8_toxic_crf, None),
     "op9_exact_dedup": (op9_exact_dedup, OP9_SQL),
     "op10_hash_tree": (op10_hash_tree, None),
 }
