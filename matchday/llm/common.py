@@ -83,3 +83,14 @@ def sampled(rows: DataFrame, label: str, per_label: int, *key: str, most_labels:
         return rows
     rates = F.create_map(*[F.lit(x) for name, n in counts.items() for x in (name, min(1.0, per_label / n))])
     return rows.where(unit_draw(*[F.col(k) for k in key], F.lit("sample")) < F.element_at(rates, F.col(label)))
+
+
+def leave_one(docs: DataFrame, acts: DataFrame, group: str, id_col: str, text_col: str) -> DataFrame:
+    """``docs`` without the rows whose act (group, id, key, stays, n) says so, and one of those of a group that tie."""
+    ties = acts.where("stays").groupBy(group).agg(F.sum("n").alias("ties")).where("ties > 1").select(group, F.lit(True).alias("_tied"))
+    marked = acts.join(ties, group, "left").where("not stays or _tied")
+    marked = materialise(marked.select(F.col("id").alias("_id"), F.col("key").alias("_key"), F.col(group).alias("_group"), "stays"), "leave-one")
+    packed = docs.select(F.struct("*").alias("row"), named(id_col).alias("id"), text_key(named(text_col).cast("string")).alias("key"))
+    same = F.col("id").eqNullSafe(F.col("_id")) & (F.col("key") == F.col("_key"))
+    untouched = packed.join(marked, same, "left_anti").select("row.*")
+    return untouched.unionByName(packed.join(marked.where("stays"), same).dropDuplicates(["_group"]).select("row.*"))

@@ -11,7 +11,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
-from matchday.llm.common import named, text_key
+from matchday.llm.common import leave_one, named, text_key
 from matchday.workspace import materialise
 
 #: Bits of a fingerprint; more only make a routed false alarm rarer, never a result different.
@@ -191,12 +191,5 @@ def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     Of rows that tie with equal ids one is left. Only the rows that leave or tie are joined.
     """
     classes = exact_classes(docs, id_col, text_col).where("group_size > 1")
-    acts = materialise(classes.groupBy("text_sha256", "id", "key").agg(F.min("kept").alias("stays"), F.count("*").alias("n")), "exact-acts")
-    ties = acts.where("stays").groupBy("text_sha256").agg(F.sum("n").alias("ties")).where("ties > 1").select("text_sha256", F.lit(True).alias("tied"))
-    acts = acts.join(ties, "text_sha256", "left").where("not stays or tied")
-    packed = docs.select(F.struct("*").alias("row"), named(id_col).alias("id"), text_key(named(text_col).cast("string")).alias("key"))
-    acts = acts.select(F.col("id").alias("_id"), F.col("key").alias("_key"), F.col("text_sha256").alias("_sha"), "stays")
-    same = F.col("id").eqNullSafe(F.col("_id")) & (F.col("key") == F.col("_key"))
-    untouched = packed.join(acts, same, "left_anti").select("row.*")
-    several = packed.join(acts.where("stays"), same, "inner").dropDuplicates(["_sha"]).select("row.*")
-    return untouched.unionByName(several)
+    acts = classes.groupBy("text_sha256", "id", "key").agg(F.min("kept").alias("stays"), F.count("*").alias("n"))
+    return leave_one(docs, materialise(acts, "exact-acts"), "text_sha256", id_col, text_col)

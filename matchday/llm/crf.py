@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -17,8 +18,9 @@ from matchday.workspace import materialise
 CHAIN = 32
 #: The training sample: documents of each label, chains of each document.
 DOCUMENTS_PER_LABEL, CHAINS_PER_DOCUMENT = 2500, 6
-#: A word labels a token toxic if it stands in so many toxic documents of the sample, and so many times as often as in others.
-LEAST_DOCUMENTS, LEAST_RATIO = 8, 20.0
+#: A word labels a token toxic if it stands at toxic places so many times as often as at others, and at so many that,
+#: by chance alone, fewer words than this would stand at toxic places only.
+LEAST_RATIO, CHANCE = 20.0, 5
 #: Words whose scores a worker remembers; beyond, it starts anew.
 REMEMBERED = 400_000
 WORD = re.compile(r"\w+")
@@ -305,8 +307,8 @@ def train(docs: DataFrame, labels: DataFrame, learn: Column, id_col: str = "doc_
     """Fits the field on documents with a label, where ``learn`` holds for the label's row.
 
     The sample is bounded: about DOCUMENTS_PER_LABEL documents of each label, drawn by hash. Labels are
-    of documents; those of words come from how many toxic and other documents of the sample have the
-    word. A few chains of each document train the field, and the documents' own sums and maxima of
+    of documents; those of words come from the places that a word has in toxic and in other documents
+    of the sample. A few chains of each document train the field, and the documents' own sums and maxima of
     marginals the calibration. Without a toxic or another document the model scores every text alike.
     A null id has no label; of labels that repeat for an id any one is taken.
     """
@@ -318,10 +320,14 @@ def train(docs: DataFrame, labels: DataFrame, learn: Column, id_col: str = "doc_
     counts = {bool(r.toxic): r["count"] for r in sample.groupBy("toxic").count().collect()}
     if len(counts) < 2:
         return ToxicCRF(calibration=(-4.0, 0.0, 0.0) if True not in counts else (0.0, 0.0, 0.0))
-    words = sample.select("toxic", F.explode(F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(r"(?U)(\w+)")))).alias("word"))
-    by_word = words.groupBy("word").agg(F.sum(F.col("toxic")).alias("t"), F.sum(1 - F.col("toxic")).alias("c"))
+    # a word counts once for each word before it: what stands at many places, not in many copies of one
+    found = F.regexp_extract_all(F.lower("text"), F.lit(r"(?U)(\w+)"))
+    both = F.arrays_zip(F.concat(F.array(F.lit("")), "words").alias("before"), F.col("words").alias("word"))
+    places = sample.select("toxic", found.alias("words")).select("toxic", F.explode(both).alias("x")).select("toxic", "x.before", "x.word").distinct()
+    by_word = materialise(places.where("word is not null").groupBy("word").agg(F.sum("toxic").alias("t"), F.sum(1 - F.col("toxic")).alias("c")), "toxic-words")
     ratio = (F.col("t") / counts[True]) / ((F.col("c") + 0.5) / counts[False])
-    least = max(2, min(LEAST_DOCUMENTS, counts[True] // 10))
+    share = counts[True] / (counts[True] + counts[False])
+    least = math.log(max(1, by_word.count()) / CHANCE) / -math.log(share)
     lexicon = {r.word for r in by_word.where((F.col("t") >= least) & (ratio >= LEAST_RATIO)).select("word").collect()}
     chains = [(list(r.words), list(r.marks)) for r in sample.mapInArrow(_chains(lexicon), "words array<string>, marks array<int>").collect()]
     chains.sort()

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from matchday.llm import byte_bpe, byte_cnn, cqf, crf, hash_tree, pivotal
+from matchday.llm import byte_bpe, byte_cnn, cqf, crf, hash_tree, lsh_forest, pivotal, warc
 from matchday.llm.common import held_out
 
 #: The vocabulary of the token queries; another rank file may take its place.
@@ -19,6 +19,11 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op1_lsh_forest(spark: SparkSession, folder: str) -> DataFrame:
+    found = lsh_forest.near_duplicates(_table(spark, folder, "documents"))
+    return found.select(F.col("id").alias("doc_id"), "class_id", "n_links", "kept")
+
+
 def op2_byte_cnn(spark: SparkSession, folder: str) -> DataFrame:
     docs = _table(spark, folder, "documents")
     model = byte_cnn.train(docs, ~held_out(F.col("doc_id")))
@@ -42,6 +47,11 @@ def op6_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op7_warc(spark: SparkSession, folder: str) -> DataFrame:
+    found = warc.round_trip(_table(spark, folder, "pages"))
+    return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op8_toxic_crf(spark: SparkSession, folder: str) -> DataFrame:
     docs = _table(spark, folder, "documents")
     model = crf.train(docs, _table(spark, folder, "labels"), ~held_out(F.col("doc_id")))
@@ -60,6 +70,18 @@ def op10_hash_tree(spark: SparkSession, folder: str) -> DataFrame:
     return placed.select(F.col("id").alias("doc_id"), "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard")
 
 
+OP7_SQL = """
+WITH paid AS (
+    SELECT page_id, coalesce(html, '') AS html, strlen(coalesce(html, '')) AS payload_bytes FROM pages
+), first AS (
+    SELECT html, min(page_id) AS page FROM paid WHERE payload_bytes >= 100 GROUP BY html
+)
+SELECT page_id, payload_bytes, sha256(paid.html) AS payload_digest,
+       CASE WHEN page <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN page <> page_id THEN page END AS refers_to
+FROM paid LEFT JOIN first USING (html)
+"""
+
 OP9_SQL = r"""
 WITH bare AS (
     SELECT doc_id, length(coalesce(text, '')) AS n, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g') AS t
@@ -73,9 +95,11 @@ SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(t) AS text_
 """
 
 QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {
+    "op1_lsh_forest": (op1_lsh_forest, None),
     "op2_byte_cnn": (op2_byte_cnn, None),
     "op5_pivotal_mix": (op5_pivotal_mix, None),
     "op6_byte_bpe": (op6_byte_bpe, None),
+    "op7_warc": (op7_warc, OP7_SQL),
     "op8_toxic_crf": (op8_toxic_crf, None),
     "op9_exact_dedup": (op9_exact_dedup, OP9_SQL),
     "op10_hash_tree": (op10_hash_tree, None),
