@@ -7,8 +7,9 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from matchday.llm import byte_bpe, byte_cnn, cqf, crf, hash_tree, lsh_forest, pivotal, warc
+from matchday.llm import byte_bpe, byte_cnn, cqf, crf, flat_graph, hash_tree, kneser_ney, lsh_forest, pivotal, warc
 from matchday.llm.common import held_out
+from matchday.workspace import materialise
 
 #: The vocabulary of the token queries; another rank file may take its place.
 RANKS, PATTERN = public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
@@ -31,6 +32,17 @@ def op2_byte_cnn(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
 
 
+def op3_flat_graph(spark: SparkSession, folder: str) -> DataFrame:
+    found = flat_graph.near_duplicates(_table(spark, folder, "embeddings"))
+    return found.select(F.col("id").alias("vec_id"), "n_links", "component_id", "kept")
+
+
+def op4_kneser_ney(spark: SparkSession, folder: str) -> DataFrame:
+    trusted = _table(spark, folder, "labels").where("quality = 1").select("doc_id")
+    found = kneser_ney.judged(materialise(kneser_ney.perplexities(_table(spark, folder, "documents"), trusted), "quality-scores"))
+    return found.select(F.col("id").alias("doc_id"), "lang", "n_bytes", "perplexity", "shrunk", "threshold", "kept")
+
+
 def op5_pivotal_mix(spark: SparkSession, folder: str) -> DataFrame:
     plan = pivotal.mixed(_table(spark, folder, "documents"))
     return plan.select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken", "source", "copies")
@@ -97,6 +109,8 @@ SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(t) AS text_
 QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {
     "op1_lsh_forest": (op1_lsh_forest, None),
     "op2_byte_cnn": (op2_byte_cnn, None),
+    "op3_flat_graph": (op3_flat_graph, None),
+    "op4_kneser_ney": (op4_kneser_ney, None),
     "op5_pivotal_mix": (op5_pivotal_mix, None),
     "op6_byte_bpe": (op6_byte_bpe, None),
     "op7_warc": (op7_warc, OP7_SQL),
