@@ -49,11 +49,13 @@ def components(nodes_and_links: DataFrame, label: str) -> DataFrame:
     links = materialise(links, label)
     while True:
         both = links.union(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m"))
+        # written, so that Spark can split the rows of a node with many neighbours when it joins
+        least = materialise(both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m")), f"{label}-least")
         large = both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
         large = large.where("a != b").distinct()
         down = large.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-        lowest = down.groupBy("a").agg(F.min("b").alias("m"))
+        down = materialise(down, f"{label}-large")
+        lowest = materialise(down.groupBy("a").agg(F.min("b").alias("m")), f"{label}-lowest")
         joined = down.join(lowest, "a")
         small = joined.where("b != m").select(F.col("b").alias("a"), F.col("m").alias("b"))
         small = small.union(lowest.select("a", F.col("m").alias("b"))).where("a != b").distinct()
