@@ -297,7 +297,10 @@ def perplexities(docs: DataFrame, trusted_ids: DataFrame, id_col: str = "doc_id"
     good = trusted_ids.select(F.col(trusted_ids.columns[0]).alias("_good")).where("_good is not null").distinct()
     placed = placed.join(good, placed["id"] == good["_good"], "left").withColumn("trusted", F.col("_good").isNotNull()).drop("_good")
     placed = materialise(placed, "quality-trusted")
-    shards = min(MOST_SHARDS, max(16, 2 * placed.select("block").distinct().count()))
+    blocks = max(1, placed.select("block").distinct().count())
+    shards = min(MOST_SHARDS, max(16, 2 * blocks))
+    # a row is small but its block is not: the number of tasks follows the blocks, not the bytes of the rows
+    placed = placed.repartition(2 * blocks, "block")
     parts = materialise(placed.select("block", "place", "trusted").groupBy("block").applyInArrow(_count(uri, shards), _PART), "quality-parts")
     kinds = "shard long, keys binary, counts binary, times array<long>, pairs array<long>, before array<long>"
     counts = parts.where("keys is not null").select("shard", "keys", "counts").groupBy("shard").applyInArrow(_merge, kinds)
