@@ -15,7 +15,7 @@ import regex
 import tiktoken
 from pyspark.sql import DataFrame, functions as F
 
-from matchday.llm.common import named
+from matchday.llm.common import named, with_fields
 
 #: Characters of a chunk, and how far each reaches into the next.
 CHUNK, OVERLAP = 32_768, 512
@@ -212,7 +212,6 @@ def encode(
 
 def decode(encoded: DataFrame, path: str, pattern: str, ids_col: str = "ids", into: str = "decoded") -> DataFrame:
     """``encoded`` plus the bytes its ids stand for; null ids give no bytes."""
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in encoded.schema.fields if f.name != into)
     encoded = encoded.select(*[named(c) for c in encoded.columns if c != into])
 
     def decoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -226,4 +225,4 @@ def decode(encoded: DataFrame, path: str, pattern: str, ids_col: str = "ids", in
                 found = [by.decode(values[a:b]) for a, b in zip(edges, edges[1:], strict=False)]
                 yield pa.RecordBatch.from_arrays([*some.columns, pa.array(found, pa.binary())], [*some.schema.names, into])
 
-    return encoded.mapInArrow(decoded, f"{fields}, `{into}` binary")
+    return encoded.mapInArrow(decoded, with_fields(encoded, f"`{into}` binary"))

@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from matchday.llm.common import named, sampled, text_key
+from matchday.llm.common import named, sampled, text_key, with_fields
 
 #: Bytes of a window; widths of the filters, filters of each width, size of a byte's embedding.
 WINDOW, WIDTHS, FILTERS, EMBEDDING = 256, (2, 3, 4), 16, 6
@@ -60,6 +60,10 @@ class ByteCNN:
             parts.append(self._softmax(np.maximum(responses + self.weights["bias"], 0)))
         return np.concatenate(parts)
 
+    def mean(self, windows: np.ndarray) -> np.ndarray:
+        """The mean of the probabilities over any number of windows."""
+        return sum(self.predict(windows[at : at + BATCH]).sum(0, dtype=np.float64) for at in range(0, len(windows), BATCH)) / len(windows)
+
     def _gradients(self, windows: np.ndarray, answers: np.ndarray) -> dict[str, np.ndarray]:
         w, n = self.weights, len(windows)
         patches = self._patches(windows)
@@ -145,32 +149,31 @@ def train(docs: DataFrame, learn: Column, lang_col: str = "lang", id_col: str =
     return ByteCNN(languages).fit(windows, np.array([languages.index(lang) for lang, _ in found]))
 
 
-def identify(docs: DataFrame, model: ByteCNN | None, text_col: str = "text") -> DataFrame:
-    """``docs`` plus lang_pred and score; columns of these names are replaced.
+def identify(docs: DataFrame, model: ByteCNN | None, text_col: str = "text", names: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:
+    """``docs`` plus the language and its score, as ``names``; columns of these names are replaced.
 
     The windows of the whole text go through the network; a language's score is the mean of its
     probabilities, and the highest is predicted (the first by name on a tie). A text that is null or
     has no letter is ``und`` with score 0, as is every text without a model. The text is the only
     input. Repeated rows get the same answer, an empty table gives an empty result.
     """
-    text = named(text_col).cast("string").alias("text")
-    packed = docs.select(F.struct(*[named(c) for c in docs.columns if c.lower() not in ("lang_pred", "score")]).alias("row"), text)
-    kind = packed.schema["row"].dataType.simpleString()
+    rows = docs.select(*[named(c) for c in docs.columns if c.lower() not in names])
+    place = rows.columns.index(text_col)
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, max(1, batch.num_rows), 256):
                 some = batch.slice(at, 256)
-                names, scores = [], []
-                for text in some.column("text").to_pylist():
+                found, scores = [], []
+                for text in some.column(place).to_pylist():
                     if model is None or not any(map(str.isalpha, text or "")):
-                        names.append(UNKNOWN)
+                        found.append(UNKNOWN)
                         scores.append(0.0)
                         continue
-                    windows = windows_of(text.encode())
-                    mean = model.predict(windows).mean(0, dtype=np.float64)
-                    names.append(model.languages[int(mean.argmax())])
+                    mean = model.mean(windows_of(text.encode()))
+                    found.append(model.languages[int(mean.argmax())])
                     scores.append(min(1.0, float(mean.max())))
-                yield pa.RecordBatch.from_arrays([some.column("row"), pa.array(names, pa.string()), pa.array(scores, pa.float64())], ["row", "lang_pred", "score"])
+                columns = [*some.columns, pa.array(found, pa.string()), pa.array(scores, pa.float64())]
+                yield pa.RecordBatch.from_arrays(columns, [*some.schema.names, *names])
 
-    return packed.mapInArrow(apply, f"row {kind}, lang_pred string, score double").select("row.*", "lang_pred", "score")
+    return rows.mapInArrow(apply, with_fields(rows, f"`{names[0]}` string, `{names[1]}` double"))

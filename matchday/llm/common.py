@@ -15,6 +15,11 @@ def named(name: str) -> Column:
     return F.col("`" + name.replace("`", "``") + "`")
 
 
+def with_fields(rows: DataFrame, more: str) -> str:
+    """The schema of ``rows`` and ``more`` fields, as a declaration."""
+    return ", ".join([*[f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields], more])
+
+
 def text_key(text: Column) -> Column:
     """Together with the id, what tells one row from another: equal only for null or equal texts."""
     return F.xxhash64(F.coalesce(text, F.lit("")))

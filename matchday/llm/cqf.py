@@ -96,22 +96,24 @@ def _normalised(texts: pa.Array) -> list[bytes]:
 
 def _tag(with_text: bool):
     def tag(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts = _normalised(batch.column("text"))
-            digests = [hashlib.sha256(x) for x in texts]
-            marks = [int.from_bytes(d.digest()[:8], "big") >> (64 - FINGERPRINT_BITS) for d in digests]
-            hexes = pa.array([d.hexdigest() for d in digests], pa.string())
-            if with_text:
-                columns = {"mark": pa.array(marks, pa.int64()), "sha": hexes, "bytes": pa.array(texts, pa.binary())}
-            else:
-                columns = {
-                    "id": batch.column("id"),
-                    "key": batch.column("key"),
-                    "length": pc.cast(pc.fill_null(pc.utf8_length(batch.column("text")), 0), pa.int64()),
-                    "mark": pa.array(marks, pa.int64()),
-                    "sha": hexes,
-                }
-            yield pa.RecordBatch.from_pydict(columns)
+        for whole in batches:
+            for at in range(0, max(1, whole.num_rows), 500):
+                batch = whole.slice(at, 500)
+                texts = _normalised(batch.column("text"))
+                digests = [hashlib.sha256(x) for x in texts]
+                marks = [int.from_bytes(d.digest()[:8], "big") >> (64 - FINGERPRINT_BITS) for d in digests]
+                hexes = pa.array([d.hexdigest() for d in digests], pa.string())
+                if with_text:
+                    columns = {"mark": pa.array(marks, pa.int64()), "sha": hexes, "bytes": pa.array(texts, pa.binary())}
+                else:
+                    columns = {
+                        "id": batch.column("id"),
+                        "key": batch.column("key"),
+                        "length": pc.cast(pc.fill_null(pc.utf8_length(batch.column("text")), 0), pa.int64()),
+                        "mark": pa.array(marks, pa.int64()),
+                        "sha": hexes,
+                    }
+                yield pa.RecordBatch.from_pydict(columns)
 
     return tag
 

@@ -11,7 +11,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from matchday.llm.common import named, sampled
+from matchday.llm.common import named, sampled, with_fields
 from matchday.workspace import materialise
 
 #: Words of a chain; a text is a row of chains.
@@ -172,14 +172,14 @@ class Tagger:
         return out
 
 
-def _tagged(model: ToxicCRF, threshold: float, span_at: float):
+def _tagged(model: ToxicCRF, threshold: float, span_at: float, place: int):
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tagger = Tagger(model)
         kind = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("marginal", pa.float64())]))
         for batch in batches:
             for at in range(0, max(1, batch.num_rows), 500):
                 some = batch.slice(at, 500)
-                texts = [t or "" for t in some.column("text").to_pylist()]
+                texts = [t or "" for t in some.column(place).to_pylist()]
                 found = tagger.tag(texts)
                 total = np.array([float(f.sum(dtype=np.float64)) for f in found])
                 most = np.array([float(f.max()) if len(f) else 0.0 for f in found])
@@ -190,13 +190,17 @@ def _tagged(model: ToxicCRF, threshold: float, span_at: float):
                         marked = [(w.span(), float(p)) for w, p in zip(WORD.finditer(text), f, strict=True) if p >= span_at]
                         spans[-1] = [{"start": s, "end": e, "marginal": p} for (s, e), p in marked]
                 scores = model.score(total, most)
-                columns = [some.column("row"), pa.array(scores, pa.float64()), pa.array((scores >= threshold).astype(np.int32)), pa.array(spans, kind)]
+                columns = [*some.columns, pa.array(scores, pa.float64()), pa.array((scores >= threshold).astype(np.int32)), pa.array(spans, kind)]
                 columns += [pa.array(total, pa.float64()), pa.array(most, pa.float64())]
-                yield pa.RecordBatch.from_arrays(columns, ["row", "score", "predicted", "spans", "total", "most"])
+                yield pa.RecordBatch.from_arrays(columns, [*some.schema.names, *ADDED])
 
     return apply
 
 
+#: The columns that :func:`tag` adds.
+ADDED = ("score", "predicted", "spans", "total", "most")
+
+
 def tag(docs: DataFrame, model: ToxicCRF, threshold: float = 0.3, span_at: float = 0.5, text_col: str = "text") -> DataFrame:
     """``docs`` plus score, predicted, spans, total and most; columns of these names are replaced.
 
@@ -206,12 +210,10 @@ def tag(docs: DataFrame, model: ToxicCRF, threshold: float = 0.3, span_at: float
     that. The text is the only input; repeated rows get the same answer; an empty table gives an empty
     result.
     """
-    own = ("score", "predicted", "spans", "total", "most")
-    text = named(text_col).cast("string").alias("text")
-    packed = docs.select(F.struct(*[named(c) for c in docs.columns if c.lower() not in own]).alias("row"), text)
-    kind = packed.schema["row"].dataType.simpleString()
-    out = f"row {kind}, score double, predicted int, spans array<struct<start:int,end:int,marginal:double>>, total double, most double"
-    return packed.mapInArrow(_tagged(model, threshold, span_at), out).select("row.*", *own)
+    rows = docs.select(*[named(c) for c in docs.columns if c.lower() not in ADDED])
+    place = rows.columns.index(text_col)
+    out = "score double, predicted int, spans array<struct<start:int,end:int,marginal:double>>, total double, most double"
+    return rows.mapInArrow(_tagged(model, threshold, span_at, place), with_fields(rows, out))
 
 
 def _chains(lexicon: set[str]):
