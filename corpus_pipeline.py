@@ -16,8 +16,9 @@ LEAST_SCORE = 0.3
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is known: those without letters, null or empty, go, and those below LEAST_SCORE."""
     model = byte_cnn.train(docs, ~held_out(F.col("doc_id")))
-    found = byte_cnn.identify(docs.select(F.struct("*").alias("document"), "text"), model)
-    return found.where((F.col("lang_pred") != byte_cnn.UNKNOWN) & (F.col("score") >= LEAST_SCORE)).select("document.*")
+    pred, score = "_pipeline_lang", "_pipeline_score"
+    found = byte_cnn.identify(docs, model, names=(pred, score))
+    return found.where((F.col(pred) != byte_cnn.UNKNOWN) & (F.col(score) >= LEAST_SCORE)).drop(pred, score)
 
 
 def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
