@@ -15,7 +15,7 @@ import regex
 import tiktoken
 from pyspark.sql import DataFrame, functions as F
 
-from matchday.llm.common import named, with_fields
+from matchday.llm.common import in_small_batches, named, with_fields
 
 #: Characters of a chunk, and how far each reaches into the next.
 CHUNK, OVERLAP = 32_768, 512
@@ -199,7 +199,7 @@ def encode(
     table gives an empty result.
     """
     text = named(text_col).cast("string")
-    rows = docs.select(F.struct(*[named(c) for c in keep]).alias("row"), text.alias("text"))
+    rows = in_small_batches(docs).select(F.struct(*[named(c) for c in keep]).alias("row"), text.alias("text"))
     kind = rows.schema["row"].dataType.simpleString()
     is_long = F.length(F.coalesce("text", F.lit(""))) > size
     short = rows.where(~is_long).mapInArrow(_encode_short(path, pattern), f"row {kind}, ids array<int>")

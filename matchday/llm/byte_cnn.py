@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from matchday.llm.common import named, sampled, text_key, with_fields
+from matchday.llm.common import in_small_batches, named, sampled, text_key, with_fields
 
 #: Bytes of a window; widths of the filters, filters of each width, size of a byte's embedding.
 WINDOW, WIDTHS, FILTERS, EMBEDDING = 256, (2, 3, 4), 16, 6
@@ -136,7 +136,7 @@ def train(docs: DataFrame, learn: Column, lang_col: str = "lang", id_col: str =
     copies weigh nothing. The driver holds 256 bytes for each window.
     """
     text = named(text_col).cast("string")
-    rows = docs.where(learn).select(
+    rows = in_small_batches(docs).where(learn).select(
         named(id_col).cast("string").alias("id"), named(lang_col).cast("string").alias("lang"), text.alias("text"), text_key(text).alias("key")
     )
     chosen = sampled(rows, "lang", DOCUMENTS_PER_LANGUAGE, "key", "id").select("lang", "text", "key")
@@ -157,7 +157,7 @@ def identify(docs: DataFrame, model: ByteCNN | None, text_col: str = "text", nam
     has no letter is ``und`` with score 0, as is every text without a model. The text is the only
     input. Repeated rows get the same answer, an empty table gives an empty result.
     """
-    rows = docs.select(*[named(c) for c in docs.columns if c.lower() not in names])
+    rows = in_small_batches(docs).select(*[named(c) for c in docs.columns if c.lower() not in names])
     place = rows.columns.index(text_col)
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -9,12 +9,27 @@ from matchday.workspace import materialise
 #: The white space that counts as such in every operator: space and U+0009 to U+000D.
 WHITE_SPACE = r"\x20\x09-\x0D"
 
+#: Rows of an Arrow batch that carries texts.
+TEXTS_PER_BATCH = 500
+
 
 def named(name: str) -> Column:
     """The column called exactly ``name``, dots included."""
     return F.col("`" + name.replace("`", "``") + "`")
 
 
+def in_small_batches(rows: DataFrame) -> DataFrame:
+    """``rows`` as they are, after the session was told to hand Python no more than TEXTS_PER_BATCH rows at a time.
+
+    A row is a text here, and may be long; Spark's default of 10,000 rows would fill a task's memory twice,
+    in the executor and in its worker. A smaller setting of the session stays.
+    """
+    conf, name = rows.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(conf.get(name)) <= TEXTS_PER_BATCH:
+        conf.set(name, str(TEXTS_PER_BATCH))
+    return rows
+
+
 def with_fields(rows: DataFrame, more: str) -> str:
     """The schema of ``rows`` and ``more`` fields, as a declaration."""
     return ", ".join([*[f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields], more])

@@ -11,7 +11,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
-from matchday.llm.common import leave_one, named, text_key
+from matchday.llm.common import in_small_batches, leave_one, named, text_key
 from matchday.workspace import materialise
 
 #: Bits of a fingerprint; more only make a routed false alarm rarer, never a result different.
@@ -160,7 +160,7 @@ def exact_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     the verification, which groups by the bytes themselves. A copy adds a count to a filter and a
     partial sum to a group, so no group is ever gathered.
     """
-    rows = docs.select(named(id_col).alias("id"), named(text_col).cast("string").alias("text"))
+    rows = in_small_batches(docs).select(named(id_col).alias("id"), named(text_col).cast("string").alias("text"))
     kind = dict(rows.dtypes)["id"]
     keyed = rows.withColumn("key", text_key(F.col("text")))
     tagged = materialise(keyed.mapInArrow(_tag(False), f"id {kind}, key long, length long, mark long, sha string"), "exact-rows")

@@ -11,7 +11,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from matchday.llm.common import named, sampled, with_fields
+from matchday.llm.common import in_small_batches, named, sampled, with_fields
 from matchday.workspace import materialise
 
 #: Words of a chain; a text is a row of chains.
@@ -210,7 +210,7 @@ def tag(docs: DataFrame, model: ToxicCRF, threshold: float = 0.3, span_at: float
     that. The text is the only input; repeated rows get the same answer; an empty table gives an empty
     result.
     """
-    rows = docs.select(*[named(c) for c in docs.columns if c.lower() not in ADDED])
+    rows = in_small_batches(docs).select(*[named(c) for c in docs.columns if c.lower() not in ADDED])
     place = rows.columns.index(text_col)
     out = "score double, predicted int, spans array<struct<start:int,end:int,marginal:double>>, total double, most double"
     return rows.mapInArrow(_tagged(model, threshold, span_at, place), with_fields(rows, out))

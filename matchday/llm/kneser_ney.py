@@ -11,7 +11,7 @@ import pyarrow.parquet as pq
 from pyarrow import fs
 from pyspark.sql import DataFrame, functions as F
 
-from matchday.llm.common import named
+from matchday.llm.common import in_small_batches, named
 from matchday.workspace import materialise, new_folder
 
 #: Bytes of an n-gram. Five fit a 64-bit key exactly; the tables below hold orders 1 to 5.
@@ -291,7 +291,7 @@ def perplexities(docs: DataFrame, trusted_ids: DataFrame, id_col: str = "doc_id"
     uri = folder if "://" in folder or folder.startswith("file:/") else f"file://{folder}"
     store, base = fs.FileSystem.from_uri(uri)
     store.create_dir(base, recursive=True)
-    rows = docs.select(named(id_col).alias("id"), named(lang_col).cast("string").alias("lang"), F.coalesce(named(text_col).cast("string"), F.lit("")).alias("text"))
+    rows = in_small_batches(docs).select(named(id_col).alias("id"), named(lang_col).cast("string").alias("lang"), F.coalesce(named(text_col).cast("string"), F.lit("")).alias("text"))
     kind = dict(rows.dtypes)["id"]
     placed = materialise(rows.mapInArrow(_write_blocks(uri), f"block string, place long, id {kind}, lang string"), "quality-rows")
     good = trusted_ids.select(F.col(trusted_ids.columns[0]).alias("_good")).where("_good is not null").distinct()

@@ -9,7 +9,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from matchday.llm.common import components, leave_one, named, text_key
+from matchday.llm.common import components, in_small_batches, leave_one, named, text_key
 from matchday.workspace import materialise
 
 #: Words of a shingle, and the least Jaccard similarity of a link.
@@ -218,7 +218,7 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, recall: flo
     tied together is compared by sets, in blocks of BLOCK texts. So no pair is emitted, every pair of
     a node is compared (and those of tied nodes as well), and no text is linked without comparison.
     """
-    rows = docs.select(named(id_col).alias("id"), named(text_col).cast("string").alias("text"))
+    rows = in_small_batches(docs).select(named(id_col).alias("id"), named(text_col).cast("string").alias("text"))
     kind = dict(rows.dtypes)["id"]
     keyed = rows.withColumn("key", text_key(F.col("text")))
     depth = depth_for(recall, similarity)
