@@ -22,7 +22,7 @@ CHUNK, OVERLAP = 32_768, 512
 #: A match ends for certain where this many characters after it are known: the longest contraction looks two ahead.
 MARGIN = 2
 #: Pieces whose ids a worker remembers; beyond, it starts anew.
-REMEMBERED = 400_000
+REMEMBERED = 100_000
 
 
 class Pieces(dict):
@@ -32,8 +32,8 @@ class Pieces(dict):
         super().__init__()
         self.encode = encoding.encode_ordinary
 
-    def __missing__(self, piece: str) -> list[int]:
-        ids = self.encode(piece)
+    def __missing__(self, piece: str) -> array:
+        ids = array("i", self.encode(piece))
         if len(self) >= REMEMBERED:
             self.clear()
         if len(piece) <= 64:
