@@ -26,6 +26,8 @@ def lag_periods(season: int, week: int, lag: int = 3, last_regular_week: int = 1
     Before week 1 the window continues at the last *regular* week of the previous season, so
     playoff weeks never feed the start of a season.
     """
+    if lag > last_regular_week:
+        raise ValueError(f"a window of {lag} weeks is longer than the {last_regular_week} weeks of a season")
     earlier = (week - back for back in range(1, lag + 1))
     return [(season, w) if w >= 1 else (season - 1, last_regular_week + w) for w in earlier]
 

@@ -52,7 +52,6 @@ def score_data(games: DataFrame, team_stats: DataFrame, policy: SkewPolicy = DEF
         ["touchdown_points"],
         on=[("week", "week"), ("season", "season"), ("game_type", "season_type")],
         spread_by=["home_team", "away_team"],
-        hot_in=games,
         policy=policy,
     )
 

@@ -20,7 +20,6 @@ from matchday.operators.quantiles import (
     percentiles_of_ranked,
     ranked_values,
 )
-from matchday.operators.skew import broadcast_if_small
 from matchday.workspace import materialise
 
 # The columns the descriptive report looks at.
@@ -107,7 +106,7 @@ def _boxes(ranked: DataFrame, keys: Sequence[str]) -> DataFrame:
     fences = quartiles.select(
         "*", (q("p25") - 1.5 * spread).alias("low_fence"), (q("p75") + 1.5 * spread).alias("high_fence")
     )
-    boxes = broadcast_if_small(materialise(_prefixed(fences, keys, "b_"), "boxes"))
+    boxes = materialise(_prefixed(fences, keys, "b_"), "boxes")
     return ranked.join(boxes, _same_group(keys, "b_"))
 
 

@@ -9,13 +9,7 @@ from pyspark.sql import functions as F
 
 from matchday.config import AWAY, HOME
 from matchday.functions.projections import q
-from matchday.operators.skew import (
-    DEFAULT_POLICY,
-    SkewPolicy,
-    broadcast_if_small,
-    hot_keys,
-    salted_join,
-)
+from matchday.operators.skew import DEFAULT_POLICY, SkewPolicy, salted_join
 
 KEY = "__key_"
 
@@ -36,25 +30,20 @@ def join_sides(
     spread_by: Sequence[str] = ("game_id",),
     null_safe: bool = False,
     suffixes: tuple[str, str] = (HOME, AWAY),
-    hot_in: DataFrame | None = None,
     policy: SkewPolicy = DEFAULT_POLICY,
 ) -> DataFrame:
     """``games`` left-joined with ``stats`` of the home side and of the away side.
 
     ``on`` pairs game columns with statistics columns, next to the team itself. Both joins read the
-    same ``stats`` columns under the same keys, so Spark computes and shuffles ``stats`` once. A
-    team that plays in a large share of the games is salted; ``hot_in`` names a cheaper frame with
-    the same keys to look for such teams in, where ``games`` is already a long plan.
+    same ``stats`` columns under the same keys, so Spark computes and shuffles ``stats`` once.
     """
-    game_keys = [g for g, _ in on]
     stat_keys = [team, *[s for _, s in on]]
-    hot = hot_keys(games if hot_in is None else hot_in, {"home": ["home_team", *game_keys], "away": ["away_team", *game_keys]}, policy)
     out = games
     for side, suffix in zip(("home", "away"), suffixes):
         right = _side(stats, stat_keys, columns, suffix, "_" + side)
         pairs = [(f"{side}_team", f"{KEY}{team}_{side}")]
         pairs += [(g, f"{KEY}{s}_{side}") for g, s in on]
-        out = salted_join(out, right, pairs, spread_by, hot[side], "left", null_safe, policy)
+        out = salted_join(out, right, pairs, spread_by, "left", null_safe, policy)
         out = out.drop(*[r for _, r in pairs])
     return out
 
@@ -67,10 +56,9 @@ def join_result(
     ``sides`` has one row per team and game and is the many side of the join.
     """
     keys = ["recent_team", "season", "week"]
-    hot = hot_keys(sides, {"side": keys}, policy)["side"]
     many = sides.select(*[q(k).alias(KEY + k) for k in keys], *[q(c) for c in sides.columns if c not in keys])
     pairs = [(KEY + k, k) for k in keys]
-    joined = salted_join(many, stats, pairs, ["game_id"], hot, "inner", policy=policy)
+    joined = salted_join(many, stats, pairs, ["game_id"], "inner", policy=policy)
     return joined.drop(*[KEY + k for k in keys])
 
 
@@ -82,11 +70,10 @@ def join_single_profile(
     The away copy is suffixed and keeps its team column, the home team column is dropped.
     """
     away = profile.withColumn("recent_team" + AWAY, q("recent_team"))
-    hot = hot_keys(games, {"home": ["home_team"], "away": ["away_team"]}, policy)
     right_home = _side(profile, ["recent_team"], columns, "", "_home")
     right_away = _side(away, ["recent_team"], [*columns, "recent_team"], AWAY, "_away")
-    out = salted_join(games, right_home, [("home_team", KEY + "recent_team_home")], ["game_id"], hot["home"], policy=policy)
-    out = salted_join(out, right_away, [("away_team", KEY + "recent_team_away")], ["game_id"], hot["away"], policy=policy)
+    out = salted_join(games, right_home, [("home_team", KEY + "recent_team_home")], ["game_id"], policy=policy)
+    out = salted_join(out, right_away, [("away_team", KEY + "recent_team_away")], ["game_id"], policy=policy)
     return out.drop(KEY + "recent_team_home", KEY + "recent_team_away")
 
 
@@ -97,12 +84,10 @@ def distinct_periods(df: DataFrame) -> DataFrame:
 def unseen_periods(new: DataFrame, stored: DataFrame) -> DataFrame:
     """Rows of ``new`` whose ``(season, week)`` is not in ``stored``; NULL periods count as equal.
 
-    The stored side is one row per period and its size is checked before it is broadcast, so the
+    The stored side is one row per period. Spark broadcasts it below its own size threshold, so the
     feed itself is normally not shuffled.
     """
-    known = broadcast_if_small(
-        distinct_periods(stored).select(q("season").alias(KEY + "season"), q("week").alias(KEY + "week"))
-    )
+    known = distinct_periods(stored).select(q("season").alias(KEY + "season"), q("week").alias(KEY + "week"))
     same = new["season"].eqNullSafe(known[KEY + "season"]) & new["week"].eqNullSafe(known[KEY + "week"])
     return new.join(known, same, "left_anti")
 

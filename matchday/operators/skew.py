@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
 from operator import and_
@@ -15,45 +15,28 @@ SALT = "__salt"
 
 @dataclass(frozen=True)
 class SkewPolicy:
-    """When a join key counts as hot and how far it is spread.
+    """How far the rows of every key are spread. One salt is the plain join.
 
-    ``share`` bounds the number of hot keys by ``1 / share``. Below ``min_rows`` a key fits one
-    task whatever its share is.
+    Spark splits skewed partitions of a plain join while it runs. Salts are for callers who know that
+    a key is beyond what that can do: the many side gets ``salts`` groups, the other is repeated as
+    often. Nothing depends on the size of a table, and no table is read to decide.
     """
 
-    share: float = 1 / 2000
-    min_rows: int = 1_000_000
-    salts: int = 64
+    salts: int = 1
 
 
 DEFAULT_POLICY = SkewPolicy()
 
+_NUMBERS = ("tinyint", "smallint", "int", "bigint", "float", "double", "decimal")
 
-def _key_hash(keys: Sequence[Column]) -> Column:
-    return F.xxhash64(*keys)
 
-
-def hot_keys(
-    df: DataFrame, key_sets: Mapping[str, Sequence[str]], policy: SkewPolicy = DEFAULT_POLICY
-) -> dict[str, list[int]]:
-    """Hashes of the hot keys of each key set.
-
-    A table below ``min_rows`` rows is only counted. Otherwise one pass finds the keys: each task
-    reduces its rows to a frequent-items sketch of fixed size, so no key is shuffled and at most
-    ``1 / share`` hashes per key set reach the driver. The sketch only decides where rows are
-    salted; a wrong guess costs balance, never rows.
-    """
-    rows = df.count()
-    if rows < policy.min_rows:
-        return {name: [] for name in key_sets}
-    limit = int(1 / policy.share)
-    sketches = [
-        F.expr(f"approx_top_k(xxhash64({', '.join(f'`{k}`' for k in keys)}), {limit}, {limit * 32})").alias(name)
-        for name, keys in key_sets.items()
-    ]
-    found = df.agg(*sketches).first()
-    bar = max(policy.min_rows, policy.share * rows)
-    return {name: [item["item"] for item in (found[name] or []) if item["count"] >= bar] for name in key_sets}
+def _comparable(left: DataFrame, right: DataFrame, on: Sequence[tuple[str, str]]) -> None:
+    """Refuses a text key against a number: the cast that Spark would add loses or merges keys."""
+    kinds, others = dict(left.dtypes), dict(right.dtypes)
+    for l, r in on:
+        a, b = kinds[l], others[r]
+        if "string" in (a, b) and (a.startswith(_NUMBERS) or b.startswith(_NUMBERS)):
+            raise TypeError(f"cannot join {l} ({a}) with {r} ({b}): cast one of them")
 
 
 def keyed_join(
@@ -64,6 +47,8 @@ def keyed_join(
     null_safe: bool = False,
 ) -> DataFrame:
     """Equi-join on ``(left column, right column)`` pairs; both key columns stay in the result."""
+    _comparable(left, right, on)
+
     def pair(l: str, r: str) -> Column:
         a, b = left[f"`{l}`"], right[f"`{r}`"]
         return a.eqNullSafe(b) if null_safe else a == b
@@ -76,44 +61,27 @@ def salted_join(
     right: DataFrame,
     on: Sequence[tuple[str, str]],
     spread_by: Sequence[str],
-    hot: Sequence[int],
     how: str = "left",
     null_safe: bool = False,
     policy: SkewPolicy = DEFAULT_POLICY,
 ) -> DataFrame:
-    """:func:`keyed_join` whose hot left keys are spread over ``policy.salts`` groups.
+    """:func:`keyed_join` whose left keys are each spread over ``policy.salts`` groups.
 
-    ``left`` is the many side. Its hot rows get a salt derived from ``spread_by``, so a retried
-    task draws the same one; only the matching ``right`` rows are repeated, once per salt. Without
-    hot keys this is the plain join.
+    ``left`` is the many side. Its rows get a salt derived from ``spread_by``, so a retried task draws
+    the same one; ``right`` rows are repeated, once per salt. The salt is a column of its own and the
+    keys are compared as they are, whatever their types.
     """
     if how not in ("left", "inner", "left_anti", "left_semi"):
         raise ValueError(f"cannot salt a {how} join")
-    if not hot:
+    if policy.salts <= 1:
         return keyed_join(left, right, on, how, null_safe)
-
-    left_hash = _key_hash([F.col(f"`{l}`") for l, _ in on])
-    right_hash = _key_hash([F.col(f"`{r}`") for _, r in on])
-    hashes = [F.lit(h) for h in hot]
     row_salt = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in spread_by]), F.lit(policy.salts)).cast("int")
-    all_salts = F.sequence(F.lit(0), F.lit(policy.salts - 1))
-
-    spread = left.withColumn(SALT, F.when(left_hash.isin(hashes), row_salt).otherwise(F.lit(0)))
-    repeated = right.withColumn(
-        SALT + "_r", F.explode(F.when(right_hash.isin(hashes), all_salts).otherwise(F.array(F.lit(0))))
-    )
+    spread = left.withColumn(SALT, row_salt)
+    repeated = right.withColumn(SALT + "_r", F.explode(F.sequence(F.lit(0), F.lit(policy.salts - 1))))
     joined = keyed_join(spread, repeated, [*on, (SALT, SALT + "_r")], how, null_safe)
     return joined.drop(SALT, SALT + "_r")
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
-    """Mark ``df`` for broadcast after counting that it has at most ``max_rows`` rows.
-
-    A larger frame is returned unmarked, and the join shuffles.
-    """
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
-
-
 def require_unique(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """``df`` itself, after checking that ``keys`` identify its rows."""
     duplicate = df.groupBy(*keys).count().where("count > 1").limit(1).collect()

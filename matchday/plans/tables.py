@@ -24,7 +24,7 @@ from matchday.functions.predicates import schedule_rows
 from matchday.functions.projections import q, with_derived_measures, with_game_totals
 from matchday.operators import aggregate as A
 from matchday.operators.joins import KEY, join_result, join_sides, unpivot_sides
-from matchday.operators.skew import DEFAULT_POLICY, SkewPolicy, hot_keys, keyed_join, salted_join
+from matchday.operators.skew import DEFAULT_POLICY, SkewPolicy, keyed_join
 
 REPEAT = "__repeat"
 COPY_BLOCK = 65_536
@@ -121,25 +121,6 @@ def _team_period(prefix: str = KEY) -> list[tuple[str, str]]:
     return [("recent_team", prefix + "team"), ("season", prefix + "season"), ("week", prefix + "week")]
 
 
-def _with_hot_kicking_rows(
-    team_stats: DataFrame, kicking: DataFrame, columns: Sequence[str], hot: Sequence[int], policy: SkewPolicy
-) -> DataFrame:
-    """:func:`_with_kicking_rows` for teams with very many different kicking rows in one period.
-
-    The kicking rows are then the many side: they are salted, and the team-periods without any
-    are added from an anti-join.
-    """
-    many = kicking.withColumnsRenamed({c: KEY + c for c in PERIOD_OF_TEAM})
-    pairs = [(r, l) for l, r in _team_period()]
-    matched = salted_join(many, team_stats, pairs, ["kicking_points"], hot, "inner", policy=policy)
-    known = many.select(*[r for _, r in _team_period()]).distinct()
-    rest = keyed_join(team_stats, known, _team_period(), "left_anti")
-    out = ["recent_team", "season", "week", *columns]
-    return matched.select(*out, q("kicking_rows").alias(REPEAT)).unionByName(
-        rest.withColumn("kicking_points", F.lit(None).cast("double")).select(*out, F.lit(1).cast("long").alias(REPEAT))
-    )
-
-
 def _repeated(joined: DataFrame, columns: Sequence[str], weight: str | None) -> DataFrame:
     """Each row as often as its two sides' kicking rows multiply, or once with that number.
 
@@ -172,11 +153,7 @@ def weekly_score_rows(
     """
     kicking = A.kicking_stats(A.score_data(games, team_stats, policy))
     counted = kicking.groupBy("team", "season", "week", "kicking_points").agg(F.count(F.lit(1)).alias("kicking_rows"))
-    hot = hot_keys(unpivot_sides(games, ["season", "week"]), {"team": PERIOD_OF_TEAM}, policy)["team"]
-    if hot:
-        sides = _with_hot_kicking_rows(team_stats, counted, columns, hot, policy)
-    else:
-        sides = _with_kicking_rows(team_stats, counted, columns)
+    sides = _with_kicking_rows(team_stats, counted, columns)
     joined = join_sides(games, sides, [*columns, REPEAT], policy=policy)
     return _repeated(joined, [*(_game_columns() if keep is None else keep), *both_sides(columns)], weight)
 

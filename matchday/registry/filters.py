@@ -19,7 +19,7 @@ from matchday.registry.oracle import CURRENT, CUTOFF, TARGET, THIS_WEEK, TRAININ
 from matchday.registry.storage import GAME, ODDS
 
 FROM_GAMES = "int_schedules"
-LAG_TARGETS = (1, 2, 3, 4, 13, 19, 22)
+LAG_TARGETS = tuple(range(1, 23))
 
 
 @query("flt_training", table(FROM_GAMES, GAME, TRAINING_ROWS))

@@ -52,7 +52,7 @@ SELECT feature, importance FROM (
     f"SELECT '{a}~{b}' AS feature, round(abs(corr({a}, {b})), 6) AS importance FROM rushing"
     for n, a in enumerate(RUSHING_METRICS)
     for b in RUSHING_METRICS[n + 1 :]
-) + """) AS ranked ORDER BY importance DESC, feature LIMIT 5
+) + """) AS ranked ORDER BY importance DESC, feature LIMIT 10
 """
 
 
@@ -65,7 +65,7 @@ def srt_topk(i: Inputs) -> DataFrame:
         F.concat_ws("~", "metric_a", "metric_b").alias("feature"),
         F.round(F.abs("corr"), 6).alias("importance"),
     )
-    return top(ranked, 5)
+    return top(ranked, 10)
 
 
 @query("set_unpivot_sides", table("sides"))

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from matchday.config import MEASURES
-from matchday.operators.skew import DEFAULT_POLICY, SkewPolicy, hot_keys, salted_join
+from matchday.operators.skew import DEFAULT_POLICY, SkewPolicy, salted_join
 
 PERIODS_SQL = """
 SELECT o_orderkey, o_custkey, o_orderstatus, o_orderdate,
@@ -116,27 +116,22 @@ WEEKLY_SQL = STATISTICS_SQL.replace(
 )
 
 
-def _read(spark: SparkSession, folder: str, table: str, key: str) -> DataFrame:
-    """Scan of one table. A file too small to be split is spread over the idle cores by ``key``.
-
-    A table of more splits than cores is left as it is read.
-    """
+def _read(spark: SparkSession, folder: str, table: str) -> DataFrame:
+    """Scan of one table, its rows dealt out evenly if it is a single file: that may be one row group, which Spark reads as one task."""
     df = spark.read.parquet(f"{folder}/{table}.parquet")
-    cores = spark.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, key)
+    return df if len(df.inputFiles()) > 1 else df.hint("rebalance")
 
 
 def schedules(spark: SparkSession, folder: str) -> DataFrame:
     all_orders = spark.read.parquet(f"{folder}/orders.parquet")
-    orders = _read(spark, folder, "orders", "o_orderkey")
+    orders = _read(spark, folder, "orders")
     return spark.sql(SCHEDULES_SQL, orders=orders, all_orders=all_orders)
 
 
 def weekly_scores(spark: SparkSession, folder: str, policy: SkewPolicy = DEFAULT_POLICY) -> DataFrame:
-    """One row per line item; an order that holds a large share of all lines is salted."""
+    """One row per line item."""
     orders = spark.read.parquet(f"{folder}/orders.parquet")
     periods = spark.sql(PERIODS_SQL, orders=orders, all_orders=orders)
-    hot = hot_keys(spark.read.parquet(f"{folder}/lineitem.parquet"), {"order": ["l_orderkey"]}, policy)["order"]
-    lines = spark.sql(LINES_SQL, lineitem=_read(spark, folder, "lineitem", "l_orderkey"))
-    joined = salted_join(lines, periods, [("l_orderkey", "o_orderkey")], ["base", "step"], hot, "inner", policy=policy)
+    lines = spark.sql(LINES_SQL, lineitem=_read(spark, folder, "lineitem"))
+    joined = salted_join(lines, periods, [("l_orderkey", "o_orderkey")], ["base", "step"], "inner", policy=policy)
     return spark.sql(STATISTICS_SQL, lines_in_period=joined)

@@ -1,6 +1,7 @@
 """A key that holds a third of all rows changes how joins run, not what they return."""
 
 import numpy as np
+import pytest
 from conftest import FOLDER, rows
 from pyspark.sql import functions as F
 
@@ -8,11 +9,12 @@ from matchday.operators import aggregate as A
 from matchday.operators.joins import join_result, join_sides
 from matchday.operators.quantiles import exact_percentiles, ranked_values
 from matchday.operators.sampling import in_training_part, with_folds
-from matchday.operators.skew import SkewPolicy, broadcast_if_small, hot_keys, keyed_join, salted_join
+from matchday.operators.skew import SkewPolicy, keyed_join, salted_join
 from matchday.plans import tables as T
+from matchday.plans.features import lag_feature_rows
 from matchday.sources import star_schema
 
-EAGER = SkewPolicy(share=1 / 50, min_rows=10, salts=8)
+EAGER = SkewPolicy(salts=8)
 
 
 def skewed_games(inputs):
@@ -27,27 +29,45 @@ def skewed_games(inputs):
     )
 
 
-def test_hot_keys_are_found(spark):
-    df = spark.range(9000).select(F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.col("id").cast("string")).alias("k"))
-    hot = hot_keys(df, {"k": ["k"]}, EAGER)["k"]
-    expected = spark.range(1).select(F.xxhash64(F.lit("hot"))).first()[0]
-    assert hot == [expected]
-    assert hot_keys(df, {"k": ["k"]})["k"] == []
+@pytest.mark.parametrize("how", ["left", "inner", "left_anti", "left_semi"])
+@pytest.mark.parametrize("null_safe", [False, True])
+@pytest.mark.parametrize("kinds", [("int", "bigint"), ("bigint", "int"), ("smallint", "double"), ("string", "string"), ("decimal(9,0)", "int")])
+def test_salted_equals_plain_for_every_type(spark, how, null_safe, kinds):
+    key = F.when(F.col("id") % 3 == 0, F.lit(4)).when(F.col("id") % 7 > 0, F.col("id") % 20)
+    left = spark.range(600).select("id", key.cast(kinds[0]).alias("k"))
+    right = spark.range(12).select(F.when(F.col("id") > 0, F.col("id")).cast(kinds[1]).alias("r"), F.col("id").alias("v"))
+    plain = keyed_join(left, right, [("k", "r")], how, null_safe)
+    salted = salted_join(left, right, [("k", "r")], ["id"], how, null_safe, EAGER)
+    assert rows(plain) == rows(salted) and plain.columns == salted.columns
 
 
-def test_hot_null_key_is_found(spark):
-    df = spark.range(900).select(F.when(F.col("id") % 3 > 0, F.col("id")).alias("k"), "id")
-    hot = hot_keys(df, {"k": ["k"]}, EAGER)["k"]
-    assert len(hot) == 1
-    right = spark.range(10).select(F.col("id").alias("r"))
-    salted = salted_join(df, right, [("k", "r")], ["id"], hot, policy=EAGER)
-    assert rows(salted) == rows(keyed_join(df, right, [("k", "r")]))
+def test_text_against_a_number_is_refused(spark):
+    with pytest.raises(TypeError, match="cast one of them"):
+        salted_join(spark.range(3), spark.createDataFrame([("1",)], "r string"), [("id", "r")], ["id"])
+
+
+def test_sides_of_other_integer_widths(inputs):
+    games = inputs.games.select("game_id", "home_team", "away_team", F.col("season").cast("int"), F.col("week").cast("int"))
+    stats = inputs.team_stats.withColumns({"season": F.col("season").cast("bigint"), "week": F.col("week").cast("bigint")})
+    plain = join_sides(games, inputs.team_stats, ["carries"])
+    assert rows(plain) == rows(join_sides(games, stats, ["carries"], policy=EAGER).select(*plain.columns))
+
+
+def test_no_jobs_while_a_plan_is_built(spark, inputs):
+    fresh = type(inputs)(spark, FOLDER)
+    spark.sparkContext.setJobGroup("building", "")
+    try:
+        for plan in (lag_feature_rows(fresh.games, fresh.team_stats, fresh.cfg), T.training_data(fresh.games, fresh.team_stats)):
+            assert plan.columns
+        # reading a file's schema is the only job
+        assert len(spark.sparkContext.statusTracker().getJobIdsForGroup("building")) <= 4
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
 
 
 def test_hot_rows_are_spread(spark):
     df = spark.range(6000).select("id", F.when(F.col("id") % 3 == 0, F.lit(-1)).otherwise(F.col("id")).alias("k"))
     right = spark.range(6000).select(F.col("id").alias("r"), F.lit(1).alias("v")).union(spark.createDataFrame([(-1, 2)], "r long, v int"))
-    hot = hot_keys(df, {"k": ["k"]}, EAGER)["k"]
     previous = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
@@ -57,7 +77,7 @@ def test_hot_rows_are_spread(spark):
             return max(r["count"] for r in sizes.collect())
 
         assert largest(keyed_join(df, right, [("k", "r")])) == 2000
-        salted = salted_join(df, right, [("k", "r")], ["id"], hot, policy=EAGER)
+        salted = salted_join(df, right, [("k", "r")], ["id"], policy=EAGER)
         assert largest(salted) < 1500
         assert salted.where("k = -1 AND v = 2").count() == 2000
     finally:
@@ -85,7 +105,7 @@ def test_score_tables(inputs):
     games = inputs.games.where("season < 1997")
     third = F.pmod(F.xxhash64("game_id"), F.lit(3)) == 0
     games = games.withColumn("home_team", F.when(third, F.lit("T3")).otherwise(F.col("home_team")))
-    policy = SkewPolicy(share=1 / 100, min_rows=5, salts=4)
+    policy = SkewPolicy(salts=4)
     scores = A.score_data(games, inputs.team_stats)
     assert rows(scores) == rows(A.score_data(games, inputs.team_stats, policy).select(*scores.columns))
     columns = ["kicking_points", "sacks"]
@@ -96,12 +116,6 @@ def test_score_tables(inputs):
     assert rows(trained) == rows(T.training_data(games, inputs.team_stats, weight="n", keep=["game_id"], policy=policy))
 
 
-def test_broadcast_needs_a_checked_size(spark):
-    df = spark.range(100)
-    assert "broadcast" in broadcast_if_small(df, 100)._jdf.queryExecution().analyzed().toString().lower()
-    assert broadcast_if_small(df, 99) is df
-
-
 def test_percentiles_of_a_hot_group(spark):
     data = np.random.default_rng(7)
     values = np.round(data.normal(size=4000), 2)
