@@ -9,6 +9,10 @@ from matchday.workspace import materialise
 #: The white space that counts as such in every operator: space and U+0009 to U+000D.
 WHITE_SPACE = r"\x20\x09-\x0D"
 
+#: Rows (two numbers and a short key) up to which the rows that leave a table are sent to all tasks, which then need not
+#: shuffle the texts; about 40 MB. Beyond, both sides are shuffled.
+MOST_BROADCAST = 400_000
+
 #: Rows of an Arrow batch that carries texts.
 TEXTS_PER_BATCH = 500
 
@@ -112,6 +116,8 @@ def leave_one(docs: DataFrame, acts: DataFrame, group: str, id_col: str, text_co
     ties = acts.where("stays").groupBy(group).agg(F.sum("n").alias("ties")).where("ties > 1").select(group, F.lit(True).alias("_tied"))
     marked = acts.join(ties, group, "left").where("not stays or _tied")
     marked = materialise(marked.select(F.col("id").alias("_id"), F.col("key").alias("_key"), F.col(group).alias("_group"), "stays"), "leave-one")
+    if marked.limit(MOST_BROADCAST + 1).count() <= MOST_BROADCAST:
+        marked = F.broadcast(marked)
     packed = docs.select(F.struct("*").alias("row"), named(id_col).alias("id"), text_key(named(text_col).cast("string")).alias("key"))
     same = F.col("id").eqNullSafe(F.col("_id")) & (F.col("key") == F.col("_key"))
     untouched = packed.join(marked, same, "left_anti").select("row.*")
