@@ -20,5 +20,5 @@ def test_matches_sql(spark, duck, name):
 def test_contract(spark):
     # a subpackage may add queries of its own
     assert set(WITH_SQL) <= set(contract.oracle_sql()) <= set(contract.queries())
-    assert set(contract.queries()) == set(QUERIES)
+    assert set(QUERIES) <= set(contract.queries())
     assert contract.entry(spark).columns[:3] == ["game_id", "home_team", "away_team"]
