@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -18,9 +19,13 @@ def shared_folder(spark: SparkSession) -> str:
         return configured.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
-    folder = tempfile.mkdtemp(prefix="matchday-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    return _own_folder(spark.sparkContext.applicationId)
+
+
+@cache
+def _own_folder(application: str) -> str:
+    """One folder per application; the setting itself cannot be changed while a session runs."""
+    return tempfile.mkdtemp(prefix="matchday-")
 
 
 def new_folder(spark: SparkSession, label: str) -> str:
