@@ -116,9 +116,14 @@ def leave_one(docs: DataFrame, acts: DataFrame, group: str, id_col: str, text_co
     ties = acts.where("stays").groupBy(group).agg(F.sum("n").alias("ties")).where("ties > 1").select(group, F.lit(True).alias("_tied"))
     marked = acts.join(ties, group, "left").where("not stays or _tied")
     marked = materialise(marked.select(F.col("id").alias("_id"), F.col("key").alias("_key"), F.col(group).alias("_group"), "stays"), "leave-one")
+    tied = marked.where("stays")
+    repeats = not tied.isEmpty()
     if marked.limit(MOST_BROADCAST + 1).count() <= MOST_BROADCAST:
-        marked = F.broadcast(marked)
+        marked, tied = F.broadcast(marked), F.broadcast(tied)
     packed = docs.select(F.struct("*").alias("row"), named(id_col).alias("id"), text_key(named(text_col).cast("string")).alias("key"))
     same = F.col("id").eqNullSafe(F.col("_id")) & (F.col("key") == F.col("_key"))
     untouched = packed.join(marked, same, "left_anti").select("row.*")
-    return untouched.unionByName(packed.join(marked.where("stays"), same).dropDuplicates(["_group"]).select("row.*"))
+    if not repeats:
+        # the join with no rows would shuffle every text once more before Spark sees that it is empty
+        return untouched
+    return untouched.unionByName(packed.join(tied, same).dropDuplicates(["_group"]).select("row.*"))

@@ -150,9 +150,12 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **setti
     plan = plan.where("copies > 0").select(F.col("id").alias("_id"), F.col("key").alias("_key"), "copies", "n")
     packed = docs.select(F.struct("*").alias("row"), named(id_col).alias("id"), text_key(named(text_col).cast("string")).alias("key"))
     same = F.col("id").eqNullSafe(F.col("_id")) & (F.col("key") == F.col("_key"))
-    single = packed.join(plan.where("n = 1"), same).select("row", "copies")
-    shared = packed.join(plan.where("n > 1"), same).dropDuplicates(["id", "key"]).select("row", "copies")
+    taken = packed.join(plan.where("n = 1"), same).select("row", "copies")
+    repeated = plan.where("n > 1")
+    if not repeated.isEmpty():
+        # left out where it is empty, since the join would shuffle every text once more before Spark sees that
+        taken = taken.union(packed.join(repeated, same).dropDuplicates(["id", "key"]).select("row", "copies"))
     # in blocks of a thousand, since rows that share id and text may have any number of copies
-    blocks = single.union(shared).withColumn("_block", F.explode(F.sequence(F.lit(1), F.ceil(F.col("copies") / 1000))))
+    blocks = taken.withColumn("_block", F.explode(F.sequence(F.lit(1), F.ceil(F.col("copies") / 1000))))
     some = F.least(F.lit(1000), F.col("copies") - (F.col("_block") - 1) * 1000)
     return blocks.withColumn("_copy", F.explode(F.sequence(F.lit(1), some.cast("int")))).select("row.*")
