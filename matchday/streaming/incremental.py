@@ -9,29 +9,51 @@ from pyspark.sql.utils import AnalysisException
 from matchday.operators.joins import distinct_periods, unseen_periods
 
 
+#: Conditions under which a folder holds no period list: it is absent, or a first write died in it.
+NO_LIST = ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
+
+
 def _known_periods(spark: SparkSession, stored: DataFrame, path: str) -> DataFrame:
-    """Periods stored when the stream first started, written once so that a restart sees the same."""
+    """Periods stored when the stream first started, written once so that a restart sees the same.
+
+    The list is a calendar and goes into one file, which appears whole or not at all.
+    """
     try:
         return spark.read.parquet(path)
-    except AnalysisException:
-        distinct_periods(stored).write.mode("errorifexists").parquet(path)
-        return spark.read.parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() not in NO_LIST:
+            raise
+    distinct_periods(stored).repartition(1).write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
 
 
 def import_stream(
-    spark: SparkSession, source: str, schema: StructType, stored: DataFrame, target: str, checkpoint: str
+    spark: SparkSession,
+    source: str,
+    schema: StructType,
+    stored: DataFrame,
+    target: str,
+    checkpoint: str,
+    redelivered: str = "keep",
 ) -> None:
     """Process all files that are waiting in ``source``, then stop.
 
     Rows of a period stored before the stream began are dropped. Each micro-batch writes its own
     partition of ``target`` in overwrite mode, so a batch that is repeated after a failure replaces
-    itself, and a period spread over several batches is kept whole.
+    itself, and a period spread over several batches is kept whole. Rows of a period that an earlier
+    run brought in are kept, or dropped as delivered again with ``redelivered="drop"``. A run that
+    fails closes no period, so the run that resumes it still takes the rest of them.
     """
-    known = _known_periods(spark, stored, f"{checkpoint}/known-periods")
+    if redelivered not in ("keep", "drop"):
+        raise ValueError("redelivered is keep or drop")
+    list_path = f"{checkpoint}/known-periods"
+    known = _known_periods(spark, stored, list_path)
+    written = []
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         rows = unseen_periods(batch, known)
         rows.write.mode("overwrite").parquet(f"{target}/batch={batch_id}")
+        written.append(batch_id)
 
     query = (
         spark.readStream.schema(schema)
@@ -42,3 +64,6 @@ def import_stream(
         .start()
     )
     query.awaitTermination()
+    if redelivered == "drop" and written:
+        arrived = distinct_periods(spark.read.schema(schema).parquet(target))
+        arrived.repartition(1).write.mode("append").parquet(list_path)

@@ -106,3 +106,36 @@ def test_stream_drops_stored_periods_and_resumes(spark):
     frame(spark, (2000, 2, 4), (1999, 1, 5)).coalesce(1).write.mode("append").parquet(source)
     import_stream(spark, source, first.schema, stored, target, progress)
     assert read() == [(2000, 1, 2), (2000, 2, 3), (2000, 2, 4)]
+
+
+def test_stream_starts_after_a_period_list_that_was_never_finished(spark, tmp_path):
+    source, target = new_folder(spark, "in"), new_folder(spark, "out")
+    (tmp_path / "known-periods" / "_temporary").mkdir(parents=True)
+    first = frame(spark, (1999, 1, 1), (2000, 1, 2))
+    first.coalesce(1).write.parquet(source)
+    import_stream(spark, source, first.schema, frame(spark, (1999, 1, 0)), target, str(tmp_path))
+    assert rows(spark.read.schema(first.schema).parquet(target).select("season", "week", "v")) == [(2000, 1, 2)]
+
+
+def test_stream_raises_where_the_period_list_is_broken(spark, tmp_path):
+    known = tmp_path / "known-periods"
+    known.mkdir()
+    (known / "part-0.parquet").write_bytes(b"not a table")
+    source = new_folder(spark, "in")
+    first = frame(spark, (1999, 1, 1))
+    first.write.parquet(source)
+    with pytest.raises(Exception):
+        import_stream(spark, source, first.schema, first, new_folder(spark, "out"), str(tmp_path))
+    assert (known / "part-0.parquet").read_bytes() == b"not a table"
+
+
+def test_stream_drops_periods_that_are_delivered_again(spark):
+    source, target, progress = (new_folder(spark, n) for n in ("in", "out", "progress"))
+    first = frame(spark, (2000, 1, 1))
+    first.coalesce(1).write.parquet(source)
+    run = lambda: import_stream(spark, source, first.schema, first.limit(0), target, progress, "drop")
+    run()
+    run()
+    frame(spark, (2000, 1, 1), (2000, 2, 2)).coalesce(1).write.mode("append").parquet(source)
+    run()
+    assert rows(spark.read.schema(first.schema).parquet(target).select("season", "week", "v")) == [(2000, 1, 1), (2000, 2, 2)]
