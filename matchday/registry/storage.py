@@ -39,17 +39,22 @@ def src_feed(i: Inputs) -> DataFrame:
     return feeds.frame_feed(i.feed_games)([1998, 1999, 2000]).select(*GAME)
 
 
+def _seasons(rows: DataFrame) -> list[int]:
+    """The seasons that a feed's table has."""
+    return sorted(r.season for r in rows.select("season").where("season IS NOT NULL").distinct().collect())
+
+
 @query("src_incremental", table("stg_weekly_scores", LINE, f"NOT {STORED}"))
 def src_incremental(i: Inputs) -> DataFrame:
     rows = i.feed_weekly.select(*LINE)
-    return feeds.new_rows(feeds.frame_feed(rows), i.cfg.seasons, rows.where(STORED))
+    return feeds.new_rows(feeds.frame_feed(rows), _seasons(rows), rows.where(STORED))
 
 
 @query("src_bootstrap", table("stg_schedules", GAME))
 def src_bootstrap(i: Inputs) -> DataFrame:
     feed = feeds.frame_feed(i.feed_games.select(*GAME))
     names = _table_name("staging"), _table_name("games")
-    return feeds.bootstrap(i.spark, feed, i.cfg.seasons, *names, (_path(i, "staging"), _path(i, "games")))
+    return feeds.bootstrap(i.spark, feed, _seasons(i.feed_games), *names, (_path(i, "staging"), _path(i, "games")))
 
 
 @query("scan_where", table("int_schedules", GAME, f"season = {CURRENT} AND week <= {CUTOFF}"))

@@ -139,3 +139,16 @@ def test_stream_drops_periods_that_are_delivered_again(spark):
     frame(spark, (2000, 1, 1), (2000, 2, 2)).coalesce(1).write.mode("append").parquet(source)
     run()
     assert rows(spark.read.schema(first.schema).parquet(target).select("season", "week", "v")) == [(2000, 1, 1), (2000, 2, 2)]
+
+
+def test_imports_take_every_season_the_table_has(spark):
+    from pyspark.sql import functions as F
+
+    from matchday.registry import Inputs, storage
+
+    folder = "/root/testdata/sf0.001"
+    later = Inputs(spark, folder)
+    later.feed_games = later.feed_games.withColumn("season", F.col("season") + 10)
+    later.feed_weekly = later.feed_weekly.withColumn("season", F.col("season") + 10)
+    assert storage.src_bootstrap(later).count() == later.feed_games.count() > 0
+    assert storage.src_incremental(later).count() == later.feed_weekly.where(f"NOT ({storage.STORED})").count() > 0
