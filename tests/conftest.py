@@ -5,12 +5,12 @@ import sys
 
 import pytest
 
+from .helpers import FOLDER
+
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path.insert(0, ROOT)
 sys.path.insert(0, os.path.join(ROOT, "tools"))
 
-FOLDER = "/root/testdata/sf0.001"
-
 
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
@@ -45,9 +45,3 @@ def duck():
     from compare import connect
 
     return connect(FOLDER)
-
-
-def rows(df):
-    """All rows as sorted tuples; NULLs first."""
-    found = [tuple(r) for r in df.collect()]
-    return sorted(found, key=lambda r: tuple((v is not None, v) for v in r))

@@ -2,11 +2,12 @@
 
 import pytest
 from compare import difference
-from conftest import FOLDER
 
 import __spark_entry__ as contract
 from matchday.registry import Inputs, load
 
+from .helpers import FOLDER
+
 QUERIES = load()
 WITH_SQL = [n for n, found in QUERIES.items() if found.sql]
 

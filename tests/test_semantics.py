@@ -4,7 +4,6 @@ from dataclasses import replace
 from datetime import date
 
 import pytest
-from conftest import rows
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
@@ -21,6 +20,8 @@ from matchday.operators.skew import require_unique
 from matchday.plans import tables as T
 from matchday.sources.feeds import scan
 
+from .helpers import rows
+
 CFG = SeasonConfig()
 
 

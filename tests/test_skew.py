@@ -2,7 +2,6 @@
 
 import numpy as np
 import pytest
-from conftest import FOLDER, rows
 from pyspark.sql import functions as F
 
 from matchday.operators import aggregate as A
@@ -14,6 +13,8 @@ from matchday.plans import tables as T
 from matchday.plans.features import lag_feature_rows
 from matchday.sources import star_schema
 
+from .helpers import FOLDER, rows
+
 EAGER = SkewPolicy(salts=8)
 
 

@@ -3,13 +3,14 @@
 import uuid
 
 import pytest
-from conftest import rows
 from pyspark.errors import AnalysisException
 
 from matchday.sources import feeds, sinks
 from matchday.streaming.incremental import import_stream
 from matchday.workspace import materialise, new_folder
 
+from .helpers import rows
+
 
 @pytest.fixture
 def table(spark):
