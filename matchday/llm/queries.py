@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from matchday.llm import byte_bpe, byte_cnn, cqf, crf, flat_graph, hash_tree, kneser_ney, lsh_forest, pivotal, warc
+from matchday.llm import byte_bpe, byte_cnn, cqf, crf, flat_graph, hash_tree, kneser_ney, lsh_forest, periodic, pivotal, warc
 from matchday.llm.common import held_out
 from matchday.workspace import materialise
 
@@ -82,6 +82,23 @@ def op10_hash_tree(spark: SparkSession, folder: str) -> DataFrame:
     return placed.select(F.col("id").alias("doc_id"), "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard")
 
 
+def op13_periodic(spark: SparkSession, folder: str) -> DataFrame:
+    docs = periodic.with_planted_runs(_table(spark, folder, "documents").select("doc_id", "text"))
+    found = periodic.periodic_runs(docs, "id")
+    # runs come by start and period, so of equal quotients the first stays
+    best = F.reduce("runs", F.element_at("runs", 1), lambda a, r: F.when(r["length"] * a["period"] > a["length"] * r["period"], r).otherwise(a))
+    lines = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    found = found.withColumn("best", F.when(F.size("runs") > 0, best))
+    return found.select(
+        F.col("id").alias("doc_id"),
+        F.size("runs").cast("long").alias("n_runs"),
+        *[F.col(f"best.{c}").alias(c) for c in ("start", "length", "period")],
+        F.expr("best.length * 1000 div best.period").alias("exponent_milli"),
+        F.sha2(F.concat_ws("", F.transform(lines, lambda x: F.concat(x, F.lit("\n")))), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 OP7_SQL = """
 WITH paid AS (
     SELECT page_id, coalesce(html, '') AS html, strlen(coalesce(html, '')) AS payload_bytes FROM pages
@@ -117,4 +134,5 @@ QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]
     "op8_toxic_crf": (op8_toxic_crf, None),
     "op9_exact_dedup": (op9_exact_dedup, OP9_SQL),
     "op10_hash_tree": (op10_hash_tree, None),
+    "op13_periodic": (op13_periodic, None),
 }
