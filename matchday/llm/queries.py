@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from matchday.llm import byte_bpe, byte_cnn, cqf, crf, flat_graph, hash_tree, kneser_ney, lsh_forest, periodic, pivotal, warc
+from matchday.llm import byte_bpe, byte_cnn, cqf, crf, flat_graph, hash_tree, kneser_ney, lsh_forest, periodic, pivotal, trie, warc
 from matchday.llm.common import held_out
 from matchday.workspace import materialise
 
@@ -82,6 +82,11 @@ def op10_hash_tree(spark: SparkSession, folder: str) -> DataFrame:
     return placed.select(F.col("id").alias("doc_id"), "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard")
 
 
+def op11_trie(spark: SparkSession, folder: str) -> DataFrame:
+    paths = trie.turn_paths(_table(spark, folder, "conversations"))
+    return trie.prefix_trie(trie.rebuilt(materialise(paths, "conversations")))
+
+
 def op13_periodic(spark: SparkSession, folder: str) -> DataFrame:
     docs = periodic.with_planted_runs(_table(spark, folder, "documents").select("doc_id", "text"))
     found = periodic.periodic_runs(docs, "id")
@@ -123,6 +128,50 @@ WITH bare AS (
 SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(t) AS text_sha256 FROM ranked
 """
 
+#: The crc32 of a decimal id, bit by bit: a byte is mixed in and eight steps follow (-1).
+CRC32_SQL = """xor(list_reduce(list_concat([4294967295::BIGINT], flatten(list_transform(string_split({id}::VARCHAR, ''),
+    lambda c: [ord(c)::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1]))),
+    lambda crc, x: CASE WHEN x >= 0 THEN xor(crc, x) ELSE xor(crc >> 1, 3988292384 * (crc & 1)) END), 4294967295)"""
+
+OP11_SQL = rf"""
+WITH numbered AS (
+    SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+           row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS i
+    FROM conversations WHERE conv_id IS NOT NULL
+), convs AS (
+    SELECT conv_id, conv_id - conv_id % 20 AS base, {CRC32_SQL.format(id="conv_id")} % 4 AS h
+    FROM (SELECT DISTINCT conv_id FROM numbered)
+), built AS (
+    SELECT c.conv_id, 0 AS part, i, role, text FROM convs c JOIN numbered n ON n.conv_id = base AND i <= h
+    UNION ALL
+    SELECT c.conv_id, 1, i, role, text FROM convs c JOIN numbered n ON n.conv_id = c.conv_id AND i > h
+), members AS (
+    SELECT conv_id, row_number() OVER path AS depth, string_agg(md5(role) || md5(text), '') OVER path AS key,
+           len(regexp_extract_all(text, '[^ 	-]+')) AS words
+    FROM built WINDOW path AS (PARTITION BY conv_id ORDER BY part, i)
+    UNION ALL
+    SELECT conv_id, 0, '', 0 FROM convs
+), last AS (
+    SELECT conv_id, max(depth) AS depth FROM members GROUP BY conv_id
+), ends AS (
+    SELECT key, string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) AS ids FROM members JOIN last USING (conv_id, depth) GROUP BY key
+), nodes AS (
+    SELECT key, min(conv_id) AS conv_id, any_value(depth) AS depth, count(*) AS n_convs, any_value(words) AS words,
+           CASE WHEN any_value(depth) > 0 THEN key[:-65] END AS above
+    FROM members GROUP BY key
+), children AS (
+    SELECT above AS key, count(*) AS n_children FROM nodes WHERE above IS NOT NULL GROUP BY above
+), counted AS (
+    SELECT nodes.*, coalesce(n_children, 0) AS n_children FROM nodes LEFT JOIN children USING (key)
+), below AS (
+    SELECT left(key, 64 * j) AS key, sum((n_children = 0)::BIGINT) AS n_leaves, sum((n_convs - 1) * words) AS saved_tokens
+    FROM (SELECT *, unnest(range(depth + 1)) AS j FROM counted) GROUP BY 1
+)
+SELECT c.conv_id, c.depth::BIGINT AS depth, p.conv_id AS parent_conv_id, c.n_convs::BIGINT AS n_convs, c.n_children::BIGINT AS n_children,
+       n_leaves::BIGINT AS n_leaves, saved_tokens::BIGINT AS saved_tokens, sha256(coalesce(ids, '')) AS ends_sha256
+FROM counted c JOIN below ON below.key = c.key LEFT JOIN nodes p ON p.key = c.above LEFT JOIN ends ON ends.key = c.key
+"""
+
 QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {
     "op1_lsh_forest": (op1_lsh_forest, None),
     "op2_byte_cnn": (op2_byte_cnn, None),
@@ -134,5 +183,6 @@ QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]
     "op8_toxic_crf": (op8_toxic_crf, None),
     "op9_exact_dedup": (op9_exact_dedup, OP9_SQL),
     "op10_hash_tree": (op10_hash_tree, None),
+    "op11_trie": (op11_trie, OP11_SQL),
     "op13_periodic": (op13_periodic, None),
 }

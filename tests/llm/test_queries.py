@@ -17,7 +17,7 @@ def test_equals_sql(spark, duck, name):
     assert sorted(map(tuple, found.select(*columns).collect()), key=repr) == sorted(wanted.fetchall(), key=repr)
 
 
-@pytest.mark.parametrize("name", list(QUERIES))
+@pytest.mark.parametrize("name", [n for n in QUERIES if n != "op11_trie"])
 def test_one_row_for_each_of_the_table(spark, name):
     run, _ = QUERIES[name]
     table = {"op3": "embeddings", "op7": "pages"}.get(name.split("_")[0], "documents")
