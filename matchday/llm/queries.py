@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from matchday.llm import byte_bpe, byte_cnn, cqf, crf, flat_graph, hash_tree, kneser_ney, lsh_forest, periodic, pivotal, trie, warc
+from matchday.llm import byte_bpe, byte_cnn, cqf, crf, flat_graph, hash_tree, kneser_ney, lsh_forest, periodic, pivotal, suffix, trie, warc
 from matchday.llm.common import held_out
 from matchday.workspace import materialise
 
@@ -87,6 +87,17 @@ def op11_trie(spark: SparkSession, folder: str) -> DataFrame:
     return trie.prefix_trie(trie.rebuilt(materialise(paths, "conversations")))
 
 
+def op12_suffix(spark: SparkSession, folder: str) -> DataFrame:
+    found = suffix.without_repeats(_table(spark, folder, "documents"))
+    return found.select(
+        F.col("id").alias("doc_id"),
+        "n_bytes",
+        F.aggregate("spans", F.lit(0).cast("long"), lambda n, span: n + span["length"]).alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 def op13_periodic(spark: SparkSession, folder: str) -> DataFrame:
     docs = periodic.with_planted_runs(_table(spark, folder, "documents").select("doc_id", "text"))
     found = periodic.periodic_runs(docs, "id")
@@ -147,7 +158,8 @@ WITH numbered AS (
     SELECT c.conv_id, 1, i, role, text FROM convs c JOIN numbered n ON n.conv_id = c.conv_id AND i > h
 ), members AS (
     SELECT conv_id, row_number() OVER path AS depth, string_agg(md5(role) || md5(text), '') OVER path AS key,
-           len(regexp_extract_all(text, '[^ 	-]+')) AS words
+           len(regexp_extract_all(text, '[^ 	-
+]+')) AS words
     FROM built WINDOW path AS (PARTITION BY conv_id ORDER BY part, i)
     UNION ALL
     SELECT conv_id, 0, '', 0 FROM convs
@@ -184,5 +196,6 @@ QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]
     "op9_exact_dedup": (op9_exact_dedup, OP9_SQL),
     "op10_hash_tree": (op10_hash_tree, None),
     "op11_trie": (op11_trie, OP11_SQL),
+    "op12_suffix": (op12_suffix, None),
     "op13_periodic": (op13_periodic, None),
 }
