@@ -93,35 +93,42 @@ class Chunk:
         np.add.at(edges, ends, -1)
         return np.cumsum(edges[:-1], dtype=np.int32) > 0
 
-    def blocks(self) -> Iterator[tuple[int, int, np.ndarray]]:
-        """(from, to, bytes) of ranges of positions, with the bytes that strings there reach."""
+    def blocks(self) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """(positions, their bytes, whether they live) of a block at a time: what the strings of living positions reach, and no more."""
         for at in range(0, len(self.data), BLOCK):
-            to = min(at + BLOCK, len(self.data) - self.threshold + 1)
-            if to > at and self.alive[at:to].any():
-                yield at, to, self.data[at : to + self.threshold - 1]
-
-    def samples(self, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(first, last, rank) of ranges of living positions whose strings have the same sample.
+            alive = np.concatenate([[0], self.alive[at : at + BLOCK].view(np.int8), [0]])
+            firsts, ends = np.flatnonzero(np.diff(alive) > 0), np.flatnonzero(np.diff(alive) < 0)
+            if len(firsts):
+                reached = np.zeros(len(alive) + self.threshold, np.int32)
+                np.add.at(reached, firsts, 1)
+                np.add.at(reached, ends + self.threshold - 1, -1)
+                places = np.flatnonzero(np.cumsum(reached, dtype=np.int32))
+                yield places + at, self.data[at + places], self.alive[at + places] & (places < BLOCK)
+
+    def samples(self, length: int) -> tuple[np.ndarray, ...]:
+        """(first, last, rank, rank of all) of ranges of living positions whose strings have the same sample.
 
         The sample of a string is its substring of ``length`` bytes with the least rank, the leftmost of
-        equal ones. It follows from the string alone, so equal strings have equal samples.
+        equal ones. It follows from the string alone, so equal strings have equal samples. The last rank
+        is that of all bytes that the strings of the range reach: the first and the last overlap, so both
+        and their distance tell all.
         """
-        found = []
-        for at, to, data in self.blocks():
+        found = [(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.uint64))]
+        for places, data, alive in self.blocks():
             ranks = ranks_of(data, length)
             order = (ranks & ~_PLACE) | np.arange(len(ranks), dtype=np.uint64)
-            place = (_least(order, self.threshold - length + 1)[: to - at] & _PLACE).astype(np.int64)
-            alive = self.alive[at:to]
-            place = np.where(alive, place, -1)
-            firsts = np.flatnonzero(np.concatenate([[True], place[1:] != place[:-1]]))
-            lasts = np.append(firsts[1:], len(place)) - 1
+            least = (_least(order, self.threshold - length + 1) & _PLACE).astype(np.int64)
+            alive = alive[: len(least)]
+            least[~alive] = -1
+            firsts = np.flatnonzero(np.concatenate([[True], least[1:] != least[:-1]]))
+            lasts = np.append(firsts[1:], len(least)) - 1
             firsts, lasts = firsts[alive[firsts]], lasts[alive[firsts]]
-            found.append((firsts + at, lasts + at, ranks[place[firsts]]))
-        if not found:
-            return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint64)
+            full = paired(ranks, self.threshold - length)
+            ends = np.stack([full[firsts] + (lasts - firsts).astype(np.uint64), full[lasts]], 1).ravel()
+            found.append((places[firsts], places[lasts], ranks[least[firsts]], paired(ends, 1)[::2]))
         return tuple(np.concatenate(x) for x in zip(*found, strict=True))
 
-    def keep(self, firsts: np.ndarray, lasts: np.ndarray, ranks: np.ndarray, repeated: dict[int, bytes], bits: int) -> tuple[np.ndarray, ...]:
+    def keep(self, firsts: np.ndarray, lasts: np.ndarray, ranks: np.ndarray, whole: np.ndarray, repeated: dict[int, bytes], bits: int) -> tuple[np.ndarray, ...]:
         """The ranges whose rank occurs again, here or in another chunk; the positions of the others leave."""
         distinct, inverse, counts = np.unique(ranks, return_inverse=True, return_counts=True)
         again = counts > 1
@@ -130,7 +137,16 @@ class Chunk:
                 again[low:high] |= np.unpackbits(np.frombuffer(repeated[shard], np.uint8), count=high - low).astype(bool)
         stays = again[inverse]
         self.alive = self.covered(firsts[stays], lasts[stays] + 1)
-        return firsts[stays], lasts[stays], ranks[stays]
+        return firsts[stays], lasts[stays], ranks[stays], whole[stays]
+
+    def living(self) -> bytes:
+        """The ranges of living positions, to be read by :meth:`revive`."""
+        edges = np.flatnonzero(np.diff(np.concatenate([[0], self.alive.view(np.int8), [0]])))
+        return edges.astype("<i8").tobytes()
+
+    def revive(self, living: bytes) -> None:
+        edges = np.frombuffer(living, "<i8")
+        self.alive = self.covered(edges[::2], edges[1::2])
 
 
 def shards_of(distinct: np.ndarray, bits: int) -> Iterator[tuple[int, tuple[int, int]]]:
@@ -141,11 +157,13 @@ def shards_of(distinct: np.ndarray, bits: int) -> Iterator[tuple[int, tuple[int,
         yield int(shards[low]), (low, high)
 
 
-def _messages(chunk: int, path: str | None, distinct: np.ndarray, bits: int) -> pa.RecordBatch:
-    """The distinct ranks of a chunk, each shard's as the 32 bits after those of the shard; in the first round, where the chunk is."""
+def _messages(chunk: int, path: str | None, living: bytes | None, distinct: np.ndarray, bits: int) -> pa.RecordBatch:
+    """The distinct ranks of a chunk, each shard's as the 32 bits after those of the shard.
+
+    Of no shard (-1): where the chunk is, in the first round, and which positions live, in later ones.
+    """
     rows = [(shard, chunk, None, (distinct[a:b] << np.uint64(bits) >> np.uint64(32)).astype("<u4").tobytes()) for shard, (a, b) in shards_of(distinct, bits)]
-    if path is not None:
-        rows.append((-1, chunk, path, None))
+    rows.append((-1, chunk, path, living))
     kinds = [("shard", pa.int64()), ("chunk", pa.int64()), ("path", pa.string()), ("ranks", pa.binary())]
     return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], kind) for i, (_, kind) in enumerate(kinds)], [n for n, _ in kinds])
 
@@ -173,8 +191,8 @@ def _cut(folder: str, threshold: int, length: int, bits: int, most: int):
             path = f"{base}/{number}-{uuid.uuid4().hex}.parquet"
             with store.open_output_stream(path) as out:
                 pq.write_table(table, out, compression="zstd")
-            _, _, ranks = Chunk(table.column("text").combine_chunks().cast(pa.binary()), threshold).samples(length)
-            yield _messages(number, path, np.unique(ranks), bits)
+            _, _, ranks, _ = Chunk(table.column("text").combine_chunks().cast(pa.binary()), threshold).samples(length)
+            yield _messages(number, path, None, np.unique(ranks), bits)
             number, parts, size = number + 1, [], 0
 
         for batch in batches:
@@ -216,21 +234,21 @@ def _chunk_of(folder: str, table: pa.Table, threshold: int) -> tuple[pa.Table, C
     return rows, Chunk(rows.column("text").combine_chunks().cast(pa.binary()), threshold)
 
 
-def _survivors(chunk: Chunk, table: pa.Table, lengths: list[int], bits: int) -> tuple[np.ndarray, ...]:
-    """What is left of a chunk after the rounds that have answers: the ranges of the last one."""
-    kept = (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint64))
-    answers = list(zip(*(table.column(c).to_pylist() for c in ("round", "shard", "bits")), strict=True))
-    for i, length in enumerate(lengths):
-        kept = chunk.keep(*chunk.samples(length), {shard: b for r, shard, b in answers if r == i}, bits)
-    return kept
+def _survivors(chunk: Chunk, table: pa.Table, length: int, bits: int) -> tuple[np.ndarray, ...]:
+    """What is left of a chunk after the answers of the last round, as ranges."""
+    rows = list(zip(*(table.column(c).to_pylist() for c in ("shard", "ranks", "bits")), strict=True))
+    for shard, living, _ in rows:
+        if shard == -1 and living is not None:
+            chunk.revive(living)
+    return chunk.keep(*chunk.samples(length), {shard: answer for shard, _, answer in rows if answer is not None}, bits)
 
 
-def _next_round(folder: str, threshold: int, lengths: list[int], bits: int):
+def _next_round(folder: str, threshold: int, length: int, following: int, bits: int):
     def ask(table: pa.Table) -> pa.Table:
         _, chunk = _chunk_of(folder, table, threshold)
-        _survivors(chunk, table, lengths[:-1], bits)
-        _, _, ranks = chunk.samples(lengths[-1])
-        return pa.Table.from_batches([_messages(table.column("chunk")[0].as_py(), None, np.unique(ranks), bits)])
+        _survivors(chunk, table, length, bits)
+        _, _, ranks, _ = chunk.samples(following)
+        return pa.Table.from_batches([_messages(table.column("chunk")[0].as_py(), None, chunk.living(), np.unique(ranks), bits)])
 
     return ask
 
@@ -249,14 +267,20 @@ def _first_of(one: np.ndarray, two: np.ndarray) -> np.ndarray:
 
 
 def _rows(chunk: Chunk, rows: pa.Table, number: int, at: np.ndarray, spans: np.ndarray, one: np.ndarray, two: pa.Array, sure: np.ndarray) -> pa.Table:
-    """Ranges of positions with two ranks, the number of their chunk, and the id and tie of their text."""
-    text = pa.array(np.searchsorted(chunk.ends, at, side="right"))
-    columns = {"one": _signed(one), "two": two, "sure": pa.array(sure), "chunk": pa.array(np.full(len(at), number), pa.int64())}
+    """Ranges of positions with two ranks, the number of their chunk, and the id and tie of their text.
+
+    Ranges that are sure and adjoin travel as one, with the ranks of the first.
+    """
+    adjoins = np.concatenate([[False], sure[1:] & sure[:-1] & (at[1:] == at[:-1] + spans[:-1])])[: len(at)]
+    heads = np.flatnonzero(~adjoins)
+    spans = np.add.reduceat(spans, heads) if len(heads) else spans
+    at, text = at[heads], pa.array(np.searchsorted(chunk.ends, at[heads], side="right"))
+    columns = {"one": _signed(one[heads]), "two": two.take(pa.array(heads)), "sure": pa.array(sure[heads]), "chunk": pa.array(np.full(len(at), number), pa.int64())}
     columns |= {"at": pa.array(at, pa.int32()), "n": pa.array(spans, pa.int32())}
     return pa.table(columns | {c: rows.column(c).combine_chunks().take(text) for c in ("id", "tie")})
 
 
-def _contexts(folder: str, threshold: int, lengths: list[int], bits: int):
+def _contexts(folder: str, threshold: int, length: int, bits: int):
     """Ranges that share a sample, with the rank of the sample and that of all the bytes the range's strings reach.
 
     Of ranges with equal bytes in a chunk the first goes on; the positions of the others are sure to repeat.
@@ -264,16 +288,9 @@ def _contexts(folder: str, threshold: int, lengths: list[int], bits: int):
 
     def ranges(table: pa.Table) -> pa.Table:
         rows, chunk = _chunk_of(folder, table, threshold)
-        firsts, lasts, ranks = _survivors(chunk, table, lengths, bits)
-        whole = np.zeros(len(firsts), np.uint64)
-        for at, to, data in chunk.blocks():
-            here = (firsts >= at) & (firsts < to)
-            full = ranks_of(data, threshold)
-            # the string of the first position and that of the last overlap, so both and their distance tell all
-            a, b = firsts[here] - at, lasts[here] - at
-            whole[here] = paired(np.stack([full[a] + (b - a).astype(np.uint64), full[b]], 1).ravel(), 1)[::2]
-        new = _first_of(ranks, whole)
-        return _rows(chunk, rows, table.column("chunk")[0].as_py(), firsts, lasts - firsts + 1, ranks, _signed(whole), ~new)
+        firsts, lasts, ranks, whole = _survivors(chunk, table, length, bits)
+        number = table.column("chunk")[0].as_py()
+        return _rows(chunk, rows, number, firsts, lasts - firsts + 1, ranks, _signed(whole), ~_first_of(ranks, whole))
 
     return ranges
 
@@ -323,20 +340,15 @@ def _positions(folder: str, threshold: int, length: int):
         firsts, spans = (asked.column(c).to_numpy().astype(np.int64) for c in ("at", "n"))
         chunk.alive = chunk.covered(firsts, firsts + spans)
         at, one, two = [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)], [np.zeros(0, np.uint64)]
-        for start, to, data in chunk.blocks():
-            own = np.flatnonzero(chunk.alive[start:to])
+        for places, data, alive in chunk.blocks():
+            own = np.flatnonzero(alive)
             ranks = ranks_of(data, length)
-            at.append(own + start)
+            at.append(places[own])
             one.append(ranks[own])
             two.append(ranks[own + threshold - length])
         at, one, two = (np.concatenate(x) for x in (at, one, two))
-        sure = ~_first_of(one, two)
-        # neighbours that are sure travel as one row
-        edge = ~sure | np.concatenate([[True], (at[1:] != at[:-1] + 1) | ~sure[:-1]])[: len(at)]
-        places = np.flatnonzero(edge)
-        count = np.diff(np.append(places, len(at)))
-        half = pa.array((two[places] & np.uint64(0xFFFFFFFF)).astype(np.uint32).view(np.int32), pa.int32())
-        return _rows(chunk, rows, table.column("chunk")[0].as_py(), at[places], count, one[places], half, sure[places])
+        half = pa.array((two & np.uint64(0xFFFFFFFF)).astype(np.uint32).view(np.int32), pa.int32())
+        return _rows(chunk, rows, table.column("chunk")[0].as_py(), at, np.ones(len(at), np.int64), one, half, ~_first_of(one, two))
 
     return spread
 
@@ -406,15 +418,14 @@ def without_repeats(
         both = roster.unionByName(more, allowMissingColumns=True)
         return both.repartition(tasks, "chunk").groupBy("chunk").applyInArrow(work, schema)
 
-    answers = None
-    for i in range(len(lengths)):
+    for i, length in enumerate(lengths):
         found = messages.where("shard >= 0").select("chunk", "shard", "ranks").groupBy("shard").applyInArrow(_repeated, ANSWER)
-        found = materialise(found.withColumn("round", F.lit(i)), "suffix-repeated")
-        answers = found if answers is None else answers.unionByName(found)
+        found = materialise(found, "suffix-repeated")
+        answers = messages.where("shard < 0").select("chunk", "shard", "ranks").unionByName(found, allowMissingColumns=True)
         if i + 1 < len(lengths):
-            messages = materialise(per_chunk(answers, _next_round(folder, threshold, lengths[: i + 2], bits), MESSAGE), "suffix-ranks")
+            messages = materialise(per_chunk(answers, _next_round(folder, threshold, length, lengths[i + 1], bits), MESSAGE), "suffix-ranks")
     fields = f"sure boolean, chunk long, at int, n int, id {kind}, tie int"
-    ranges = materialise(per_chunk(answers, _contexts(folder, threshold, lengths, bits), f"one long, two long, {fields}"), "suffix-ranges")
+    ranges = materialise(per_chunk(answers, _contexts(folder, threshold, lengths[-1], bits), f"one long, two long, {fields}"), "suffix-ranges")
     in_order = [F.col("id").asc_nulls_last(), F.col("tie"), F.col("chunk"), F.col("at")]
     ranked = ranges.where("not sure").repartitionByRange("one", "two").sortWithinPartitions("one", "two", *in_order)
     ranked = materialise(ranked.mapInArrow(_told_apart, f"one long, two long, {fields}"), "suffix-ranked")
