@@ -70,3 +70,41 @@ def lag_targets(
 
     steps = range(1, lag + 1)
     return F.array(*[same_season(i) for i in steps], *[next_season(i) for i in steps])
+
+
+#: Lane of the regular weeks of all seasons, one after another. The last weeks of a season have a lane of their own.
+REGULAR_LANE = 0
+
+
+def period_lanes(season: Column, week: Column, lag: int = 3, last_regular_week: int = 18, last_week: int = 22) -> Column:
+    """Where a row of period ``(season, week)`` stands, as an array of structs (lane, ordinal).
+
+    Regular weeks are numbered through all seasons, so week 1 follows the last regular week before it. Weeks
+    beyond would take the numbers of the next season; they stand in a lane for each season, together
+    with the regular weeks that their windows reach.
+    """
+
+    def place(lane: Column, ordinal: Column) -> Column:
+        return F.struct(lane.cast("int").alias("lane"), ordinal.cast("int").alias("ordinal"))
+
+    regular = F.when(week.between(1, last_regular_week), place(F.lit(REGULAR_LANE), season * last_regular_week + week))
+    late = F.when(week.between(last_regular_week + 1 - lag, last_week), place(season, week))
+    return F.filter(F.array(regular, late), lambda x: x.isNotNull())
+
+
+def target_periods(first_season: Column, last_season: Column, last_regular_week: int = 18, last_week: int = 22) -> Column:
+    """All periods of the seasons, as an array of structs (season, week, lane, ordinal) at which a window may end."""
+
+    def of_season(season: Column) -> Column:
+        def period(week: Column) -> Column:
+            regular = week <= last_regular_week
+            return F.struct(
+                season.cast("int").alias("season"),
+                week.cast("int").alias("week"),
+                F.when(regular, F.lit(REGULAR_LANE)).otherwise(season).cast("int").alias("lane"),
+                F.when(regular, season * last_regular_week + week).otherwise(week).cast("int").alias("ordinal"),
+            )
+
+        return F.transform(F.sequence(F.lit(1), F.lit(last_week)), period)
+
+    return F.flatten(F.transform(F.sequence(first_season, last_season), of_season))

@@ -5,6 +5,7 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from matchday.config import GAME_FEATURES, SIDE_FEATURES
 from matchday.functions.projections import q
@@ -39,22 +40,21 @@ def src_feed(i: Inputs) -> DataFrame:
     return feeds.frame_feed(i.feed_games)([1998, 1999, 2000]).select(*GAME)
 
 
-def _seasons(rows: DataFrame) -> list[int]:
-    """The seasons that a feed's table has."""
-    return sorted(r.season for r in rows.select("season").where("season IS NOT NULL").distinct().collect())
-
-
-@query("src_incremental", table("stg_weekly_scores", LINE, f"NOT {STORED}"))
+@query("src_incremental", table("stg_weekly_scores", LINE))
 def src_incremental(i: Inputs) -> DataFrame:
+    """A first import of some periods and a second of the whole feed: the stored table has every period once."""
+    name, path = _table_name("weekly"), _path(i, "weekly")
     rows = i.feed_weekly.select(*LINE)
-    return feeds.new_rows(feeds.frame_feed(rows), _seasons(rows), rows.where(STORED))
+    feeds.import_new(i.spark, feeds.frame_feed(rows.where(STORED)), None, name, path)
+    feeds.import_new(i.spark, feeds.frame_feed(rows), None, name, path)
+    return i.spark.table(name).select(*LINE)
 
 
 @query("src_bootstrap", table("stg_schedules", GAME))
 def src_bootstrap(i: Inputs) -> DataFrame:
     feed = feeds.frame_feed(i.feed_games.select(*GAME))
     names = _table_name("staging"), _table_name("games")
-    return feeds.bootstrap(i.spark, feed, _seasons(i.feed_games), *names, (_path(i, "staging"), _path(i, "games")))
+    return feeds.bootstrap(i.spark, feed, None, *names, (_path(i, "staging"), _path(i, "games"))).select(*GAME)
 
 
 @query("scan_where", table("int_schedules", GAME, f"season = {CURRENT} AND week <= {CUTOFF}"))
@@ -144,11 +144,11 @@ _PICK = "CASE WHEN spread_line > 0 THEN 1 ELSE 0 END AS predicted_outcome"
 
 @query(
     "sink_schema",
-    with_tables(f"SELECT game_id, home_team, away_team, {_PICK} FROM int_schedules WHERE season = {CURRENT}", "int_schedules"),
+    with_tables(f"SELECT game_id, home_team, away_team, {_PICK} FROM int_schedules", "int_schedules"),
 )
 def sink_schema(i: Inputs) -> DataFrame:
     name, path = _table_name("predictions"), _path(i, "predictions")
-    rows = _baseline(i).where(f"season = {CURRENT}").select(*PREDICTION)
+    rows = _baseline(i).select(*PREDICTION)
     sinks.append_table(rows, name, path)
     sinks.reset_predictions(i.spark, name, path)
     sinks.append_table(rows, name, path)
@@ -158,18 +158,23 @@ def sink_schema(i: Inputs) -> DataFrame:
 @query(
     "sink_upsert_pk",
     with_tables(
-        f"""SELECT game_id, home_team, away_team, {_PICK}, week AS prediction_week
-            FROM int_schedules WHERE season = {CURRENT} AND week <= {TARGET}""",
+        f"""SELECT game_id, home_team, away_team, {_PICK}, week AS prediction_week, true AS stamped, week <= {CUTOFF} AS first_batch
+            FROM int_schedules""",
         "int_schedules",
     ),
 )
 def sink_upsert_pk(i: Inputs) -> DataFrame:
+    """All games, in two batches that overlap: what the first stored stays, with its time."""
     name, path = _table_name("predictions"), _path(i, "keyed")
-    rows = _baseline(i).where(f"season = {CURRENT}").withColumnRenamed("week", "prediction_week")
-    rows = rows.select(*PREDICTION, "prediction_week")
+    rows = _baseline(i).withColumnRenamed("week", "prediction_week").select(*PREDICTION, "prediction_week")
     sinks.add_predictions(i.spark, rows.where(q("prediction_week") <= CUTOFF), name, path)
-    sinks.add_predictions(i.spark, rows.where(q("prediction_week") <= TARGET), name, path, on_conflict="skip")
-    return i.spark.table(name).select(*PREDICTION, "prediction_week")
+    sinks.add_predictions(i.spark, rows, name, path, on_conflict="skip")
+    stored = i.spark.table(name)
+    # the time of a batch is one value, so the least of all is found without ordering the rows
+    earliest = stored.agg(F.min("created_at").alias("earliest"))
+    return stored.join(F.broadcast(earliest)).select(
+        *PREDICTION, "prediction_week", q("prediction_timestamp").isNotNull().alias("stamped"), (q("created_at") == q("earliest")).alias("first_batch")
+    )
 
 
 @query("sink_weekly", INPUT_SQL)

@@ -5,44 +5,99 @@ A feed is any callable ``seasons -> DataFrame``.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Sequence
+from collections.abc import Callable, Iterable, Iterator, Sequence
+from contextlib import contextmanager
+from functools import reduce
+from operator import or_
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from matchday.operators.joins import unseen_periods
+from matchday.operators.joins import distinct_periods, unseen_periods
 from matchday.sources.sinks import append_table, replace_table
+from matchday.workspace import materialise
 
-Feed = Callable[[Sequence[int]], DataFrame]
+PERIOD = ("season", "week")
 
-
-def frame_feed(df: DataFrame) -> Feed:
-    """A feed over an existing frame; the season list reaches its scan."""
-    return lambda seasons: df.where(F.col("season").isin(list(seasons)))
+Feed = Callable[[Sequence[int] | None], DataFrame]
 
 
-def parquet_feed(spark: SparkSession, path: str) -> Feed:
-    """A feed over parquet files; seasons prune partitions if the files are partitioned by season."""
-    return frame_feed(spark.read.parquet(path))
+def frame_feed(df: DataFrame) -> Feed:
+    """A feed over an existing frame; a season list reaches its scan, None stands for all seasons."""
+    return lambda seasons: df if seasons is None else df.where(F.col("season").isin(list(seasons)))
 
 
-def new_rows(feed: Feed, seasons: Sequence[int], stored: DataFrame | None) -> DataFrame:
+def new_rows(feed: Feed, seasons: Sequence[int] | None, stored: DataFrame | None) -> DataFrame:
     """Feed rows whose (season, week) is not stored yet; everything if nothing is."""
     rows = feed(seasons)
     return rows if stored is None else unseen_periods(rows, stored)
 
 
-def import_new(spark: SparkSession, feed: Feed, seasons: Sequence[int], table: str, path: str | None = None) -> None:
-    """Append the unseen periods of a feed to ``table``, creating it on the first run."""
-    stored = spark.table(table) if spark.catalog.tableExists(table) else None
-    append_table(new_rows(feed, seasons, stored), table, path)
+def index_name(table: str) -> str:
+    """The table beside ``table`` that lists its periods."""
+    return f"{table}_periods"
+
+
+def in_some_period(periods: DataFrame) -> Column:
+    """The seasons and the weeks of some periods, as constants that prune partitions; a calendar is small."""
+    found = periods.collect()
+    within = [F.col(c).isin(sorted({r[c] for r in found if r[c] is not None})) for c in PERIOD]
+    unknown = [F.col(c).isNull() for c in PERIOD if any(r[c] is None for r in found)]
+    return reduce(or_, unknown, within[0] & within[1])
+
+
+@contextmanager
+def replaced_partitions(spark: SparkSession) -> Iterator[None]:
+    """An overwrite of a partitioned table replaces the partitions that it brings, not the table."""
+    setting = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, "dynamic")
+    try:
+        yield
+    finally:
+        spark.conf.set(setting, before)
+
+
+def import_new(
+    spark: SparkSession,
+    feed: Feed,
+    seasons: Sequence[int] | None,
+    table: str,
+    path: str | None = None,
+    calendar: DataFrame | None = None,
+) -> None:
+    """Append the unseen periods of a feed to ``table``, creating it on the first run.
+
+    What is stored is known from an index of periods beside the table, so the table itself is not read.
+    The feed is read once, into a staged copy of its new rows; table and index are written from that.
+    The table is partitioned by period and an import replaces the partitions it brings: one
+    that stopped before the index was written repeats without doubling a row. ``calendar`` names the periods of a
+    feed that is itself partitioned by them, so that Spark prunes those already stored.
+    """
+    index = index_name(table)
+    stored = spark.table(index) if spark.catalog.tableExists(index) else None
+    rows = feed(seasons)
+    if stored is not None:
+        if calendar is not None:
+            rows = rows.where(in_some_period(unseen_periods(distinct_periods(calendar), stored)))
+        rows = unseen_periods(rows, stored)
+    staged = materialise(rows, "import")
+    if spark.catalog.tableExists(table):
+        by_position = staged.select(*spark.table(table).columns).hint("rebalance", *PERIOD)
+        with replaced_partitions(spark):
+            by_position.write.mode("overwrite").insertInto(table)
+    else:
+        writer = staged.hint("rebalance", *PERIOD).write.partitionBy(*PERIOD)
+        (writer.option("path", path) if path else writer).saveAsTable(table)
+    found = staged.groupBy(*PERIOD).agg(F.count(F.lit(1)).alias("rows")).coalesce(1)
+    append_table(found, index, f"{path}_periods" if path else None)
 
 
 def bootstrap(
     spark: SparkSession,
     feed: Feed,
-    seasons: Sequence[int],
+    seasons: Sequence[int] | None,
     staging: str,
     final: str | None = None,
     paths: tuple[str | None, str | None] = (None, None),

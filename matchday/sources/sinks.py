@@ -12,6 +12,7 @@ from pyspark.sql.types import IntegerType, StringType, StructField, StructType,
 from matchday.functions.predicates import any_null
 from matchday.functions.projections import q
 from matchday.operators.skew import require_unique
+from matchday.workspace import materialise
 
 PREDICTION_SCHEMA = StructType(
     [
@@ -58,28 +59,50 @@ def reset_predictions(spark: SparkSession, table: str, path: str | None = None,
     replace_table(spark.createDataFrame([], schema), table, path)
 
 
+#: Buckets of a keyed predictions table.
+KEY_BUCKETS = 16
+
+
+def _append_keyed(df: DataFrame, table: str, path: str | None, key: str, buckets: int) -> None:
+    """A task for each bucket, so that an import adds one file to it."""
+    writer = df.repartition(buckets, q(key)).write.bucketBy(buckets, key).sortBy(key).mode("append")
+    (writer.option("path", path) if path else writer).saveAsTable(table)
+
+
 def add_predictions(
-    spark: SparkSession, new: DataFrame, table: str, path: str | None = None, on_conflict: str = "fail"
+    spark: SparkSession, new: DataFrame, table: str, path: str | None = None, on_conflict: str = "fail", buckets: int = KEY_BUCKETS
 ) -> None:
     """Append predictions to a table keyed by ``game_id``, creating it if absent.
 
     A game that occurs twice in ``new`` is an error. A game already stored is an error with
-    ``on_conflict="fail"`` and left as it is with ``"skip"``. On error nothing is written.
+    ``on_conflict="fail"`` and left as it is with ``"skip"``. On error nothing is written. A
+    ``prediction_timestamp`` that ``new`` does not have is the time of this call, as is ``created_at``.
+
+    The table is bucketed by the key, so the check against it moves the new rows only. ``new`` is computed
+    once, into a staged copy, and published by one append at the end.
     """
-    if not spark.catalog.tableExists(table):
-        reset_predictions(spark, table, path, TRACKED_PREDICTION_SCHEMA)
-    require_unique(new, ["game_id"])
-    stored = spark.table(table).select(q("game_id").alias("stored_id"))
-    known = q("game_id") == q("stored_id")
-    if on_conflict == "fail" and not new.join(stored, known, "left_semi").isEmpty():
-        raise ValueError("a game already has a prediction")
-    rows = new.join(stored, known, "left_anti").withColumn("created_at", F.current_timestamp())
+    rows = new.withColumn("created_at", F.current_timestamp())
+    if "prediction_timestamp" not in rows.columns:
+        rows = rows.withColumn("prediction_timestamp", F.current_timestamp())
     present = set(rows.columns)
     columns = [
         (q(f.name) if f.name in present else F.lit(None)).cast(f.dataType).alias(f.name)
         for f in TRACKED_PREDICTION_SCHEMA.fields
     ]
-    append_table(rows.select(*columns), table, path)
+    staged = materialise(rows.select(*columns), "predictions")
+    require_unique(staged, ["game_id"])
+    if not spark.catalog.tableExists(table):
+        _append_keyed(spark.createDataFrame([], TRACKED_PREDICTION_SCHEMA), table, path, "game_id", buckets)
+    stored = spark.table(table)
+    if on_conflict == "fail" and not conflicts(staged, stored).isEmpty():
+        raise ValueError("a game already has a prediction")
+    _append_keyed(conflicts(staged, stored, "left_anti"), table, path, "game_id", buckets)
+
+
+def conflicts(new: DataFrame, stored: DataFrame, how: str = "left_semi") -> DataFrame:
+    """Rows of ``new`` whose game is stored (or, with ``left_anti``, is not)."""
+    keys = stored.select(q("game_id").alias("stored_id"))
+    return new.join(keys, q("game_id") == q("stored_id"), how)
 
 
 def write_periods(df: DataFrame, path: str, keys: Sequence[str] = ("season", "week")) -> None:

@@ -7,7 +7,7 @@ import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
-from matchday.config import MEASURES, SeasonConfig, WEEKLY_MEASURES
+from matchday.config import LAG_AVERAGES, LAG_TOTALS, MEASURES, SeasonConfig, WEEKLY_MEASURES
 from matchday.functions import predicates as P
 from matchday.functions import projections as J
 from matchday.functions import scalars as S
@@ -15,7 +15,7 @@ from matchday.functions.calendar import lag_calendar, lag_periods, lag_targets,
 from matchday.operators import aggregate as A
 from matchday.operators import describe as D
 from matchday.operators.joins import join_sides, unseen_periods
-from matchday.operators.lag import lag_profile_of_target, lag_profiles
+from matchday.operators.lag import lag_profile_of_target, lag_profiles, trailing_profiles
 from matchday.operators.skew import require_unique
 from matchday.plans import tables as T
 from matchday.sources.feeds import scan
@@ -225,3 +225,18 @@ def test_copies_are_made_in_blocks(spark, monkeypatch):
 def test_short_weekly_table_drops_helpers(inputs):
     short = J.with_derived_measures(A.team_week_filled(inputs.feed_weekly), keep_parts=False)
     assert "touchdowns" not in short.columns and len(short.columns) == 4 + len(WEEKLY_MEASURES) - 2 + 3
+
+
+def test_range_frames_equal_the_expanded_windows(spark):
+    measures = list(dict.fromkeys([*LAG_AVERAGES.values(), *LAG_TOTALS]))
+    periods = [(1999, w) for w in (1, 2, 16, 17, 18, 19, 20, 21, 22)] + [(2000, w) for w in (1, 2, 4, 18, 22)] + [(2001, 3)]
+    values = [(team, s, w, *[float((s + w * (n + 1)) % 7) if (w + n) % 5 else None for n in range(len(measures))]) for team in ("A", None) for s, w in periods]
+    values += [("B", 2000, None, *[1.0] * len(measures)), ("C", None, 3, *[1.0] * len(measures)), ("A", 2000, 2, *[5.0] * len(measures))]
+    stats = spark.createDataFrame(values, "recent_team string, season int, week int, " + ", ".join(f"{m} double" for m in measures))
+    columns = ["recent_team", "season", "week", *LAG_AVERAGES, *LAG_TOTALS]
+    framed = trailing_profiles(stats, CFG)
+    known = stats.where("season IS NOT NULL AND week IS NOT NULL")
+    assert rows(framed.select(*columns)) == rows(lag_profiles(known, CFG).select(*columns))
+    plan = framed._jdf.queryExecution().executedPlan().toString()
+    assert "Window " in plan and "RangeFrame" in plan
+    assert trailing_profiles(stats.limit(0), CFG).collect() == []

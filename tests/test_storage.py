@@ -5,6 +5,7 @@ import uuid
 import pytest
 from pyspark.errors import AnalysisException
 
+from matchday.operators.joins import distinct_periods, unseen_periods
 from matchday.sources import feeds, sinks
 from matchday.streaming.incremental import import_stream
 from matchday.workspace import materialise, new_folder
@@ -33,6 +34,49 @@ def test_import_twice_adds_nothing(spark, table):
     assert rows(spark.table(name).select("v")) == [(1,), (2,), (3,), (4,)]
 
 
+def test_import_reads_the_index_and_repeats_what_was_interrupted(spark, table):
+    name, path = table
+    first = frame(spark, (1999, 1, 1), (1999, 2, 2), (None, None, 9))
+    feeds.import_new(spark, feeds.frame_feed(first), None, name, path)
+    assert rows(spark.table(feeds.index_name(name)).select("season", "week", "rows")) == [(None, None, 1), (1999, 1, 1), (1999, 2, 1)]
+    # an import that wrote its rows and stopped before the index comes again
+    whole = frame(spark, (1999, 1, 1), (1999, 2, 2), (None, None, 9), (1999, 3, 3), (1999, 3, 4))
+    with feeds.replaced_partitions(spark):
+        whole.where("week = 3").select("v", "season", "week").write.mode("overwrite").insertInto(name)
+    feeds.import_new(spark, feeds.frame_feed(whole), None, name, path)
+    assert rows(spark.table(name).select("v")) == [(1,), (2,), (3,), (4,), (9,)]
+    later = frame(spark, (1999, 3, 5), (2000, 1, 6))
+    feeds.import_new(spark, feeds.frame_feed(later), None, name, path, calendar=later)
+    assert rows(spark.table(name).select("v")) == [(1,), (2,), (3,), (4,), (6,), (9,)]
+    assert spark.conf.get("spark.sql.sources.partitionOverwriteMode").lower() == "static"
+
+
+def test_a_calendar_prunes_the_partitions_of_the_feed(spark, table):
+    _, path = table
+    write = frame(spark, (1999, 1, 1), (1999, 2, 2), (2000, 1, 3)).write
+    write.partitionBy("season", "week").parquet(path)
+    feed = spark.read.parquet(path)
+    wanted = unseen_periods(distinct_periods(feed), frame(spark, (1999, 1, 0), (1999, 2, 0)))
+    pruned = feed.where(feeds.in_some_period(wanted))
+    plan = pruned._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(season" in plan or "PartitionFilters: [(season" in plan or "PartitionFilters: [season" in plan
+    assert rows(pruned.select("v")) == [(3,)]
+    assert feed.where(feeds.in_some_period(wanted.limit(0))).count() == 0
+
+
+def test_stored_predictions_do_not_move(spark, table):
+    name, path = table
+    sinks.add_predictions(spark, predictions(spark, "a", "b"), name, path)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        joined = sinks.conflicts(predictions(spark, "b", "c"), spark.table(name))
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert plan.count("Exchange") == 1 and "Bucketed: true" in plan
+    assert rows(joined.select("game_id")) == [("b",)]
+
+
 def test_bootstrap_reads_what_is_staged(spark, table):
     name, path = table
     sinks.replace_table(frame(spark, (1999, 1, 7)), name, path)
