@@ -13,13 +13,7 @@ from pyspark.sql import functions as F
 
 from matchday.functions import scalars as S
 from matchday.functions.projections import q
-from matchday.operators.quantiles import (
-    melt,
-    percentile_columns,
-    percentile_name,
-    percentiles_of_ranked,
-    ranked_values,
-)
+from matchday.operators.quantiles import exact_percentiles, melt, percentile_name
 from matchday.workspace import materialise
 
 # The columns the descriptive report looks at.
@@ -45,21 +39,28 @@ def _prefixed(df: DataFrame, keys: Sequence[str], prefix: str) -> DataFrame:
     return df.withColumnsRenamed({k: prefix + k for k in [*keys, "metric"]})
 
 
+def _stored(df: DataFrame, keys: Sequence[str], metrics: Sequence[str]) -> DataFrame:
+    """The columns a report reads, written once: it reads them several times."""
+    return materialise(df.select(*[q(c) for c in dict.fromkeys([*keys, *metrics])]), "described")
+
+
 def describe(df: DataFrame, keys: Sequence[str], metrics: Sequence[str]) -> DataFrame:
     """Count, mean, sample deviation, minimum, exact quartiles and maximum per group and metric.
 
-    Everything comes from the ranked distinct values, so ``df`` is computed once.
+    Moments are one aggregate, which sums before it moves anything; of the values themselves only those
+    next to a quartile move.
     """
-    ranked = ranked_values(df, keys, metrics)
-    off = q("value") - q("mean")
-    return ranked.groupBy(*keys, "metric").agg(
-        F.sum("n").alias("count"),
-        F.max("mean").alias("mean"),
-        F.sqrt(F.try_divide(F.sum(q("n") * off * off), F.sum("n") - 1)).alias("std"),
+    rows = _stored(df, keys, metrics)
+    moments = melt(rows, keys, metrics).groupBy(*keys, "metric").agg(
+        F.count("value").alias("count"),
+        F.avg("value").alias("mean"),
+        F.stddev_samp("value").alias("std"),
         F.min("value").alias("min"),
-        *percentile_columns(QUARTILES),
         F.max("value").alias("max"),
     )
+    quartiles = _prefixed(exact_percentiles(rows, keys, metrics, QUARTILES), keys, "q_")
+    names = [percentile_name(p) for p in QUARTILES]
+    return moments.join(quartiles, _same_group(keys, "q_")).select(*keys, "metric", "count", "mean", "std", "min", *names, "max")
 
 
 def describe_approximately(
@@ -100,32 +101,32 @@ def correlation(df: DataFrame, metrics: Sequence[str]) -> DataFrame:
     return wide.select(F.inline(F.array(*cells)))
 
 
-def _boxes(ranked: DataFrame, keys: Sequence[str]) -> DataFrame:
-    quartiles = percentiles_of_ranked(ranked, keys, QUARTILES)
+def _boxes(df: DataFrame, keys: Sequence[str], metrics: Sequence[str]) -> DataFrame:
+    """Every value with the quartiles and fences of its group."""
+    rows = _stored(df, keys, metrics)
+    quartiles = exact_percentiles(rows, keys, metrics, QUARTILES)
     spread = q("p75") - q("p25")
     fences = quartiles.select(
         "*", (q("p25") - 1.5 * spread).alias("low_fence"), (q("p75") + 1.5 * spread).alias("high_fence")
     )
     boxes = materialise(_prefixed(fences, keys, "b_"), "boxes")
-    return ranked.join(boxes, _same_group(keys, "b_"))
+    return melt(rows, keys, metrics).join(boxes, _same_group(keys, "b_"))
 
 
 def box_stats(df: DataFrame, keys: Sequence[str], metrics: Sequence[str]) -> DataFrame:
     """Quartiles, whiskers (last values within 1.5 interquartile ranges) and outlier count."""
-    rows = _boxes(ranked_values(df, keys, metrics), keys)
     inside = q("value").between(q("low_fence"), q("high_fence"))
-    return rows.groupBy(*keys, "metric", "p25", "p50", "p75").agg(
+    return _boxes(df, keys, metrics).groupBy(*keys, "metric", "p25", "p50", "p75").agg(
         F.min(F.when(inside, q("value"))).alias("whisker_low"),
         F.max(F.when(inside, q("value"))).alias("whisker_high"),
-        F.sum(F.when(inside, F.lit(0)).otherwise(q("n"))).alias("outliers"),
+        F.count_if(~inside).alias("outliers"),
     )
 
 
 def box_outliers(df: DataFrame, keys: Sequence[str], metrics: Sequence[str]) -> DataFrame:
     """The points a box plot draws beyond its whiskers, equal ones counted."""
-    rows = _boxes(ranked_values(df, keys, metrics), keys)
     outside = ~q("value").between(q("low_fence"), q("high_fence"))
-    return rows.where(outside).select(*keys, "metric", "value", "n")
+    return _boxes(df, keys, metrics).where(outside).groupBy(*keys, "metric", "value").agg(F.count(F.lit(1)).alias("n"))
 
 
 def _value_counts(df: DataFrame, metric: str) -> DataFrame:

@@ -2,27 +2,27 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from matchday.config import TRAINING_FEATURES
+from matchday.config import GAME_FEATURES, SIDE_FEATURES, TRAINING_FEATURES
 from matchday.functions.predicates import target_rows, training_rows
 from matchday.functions.projections import q
 from matchday.operators import metrics as M
 from matchday.operators.impute import impute_means
 from matchday.operators.sampling import in_training_part, with_folds
 from matchday.plans import training as L
-from matchday.plans.backtest import backtest_score, favourite_baseline, walk_forward
+from matchday.plans.backtest import backtest_score, favourite_baseline, ledger_predictions, walk_forward_ledger
 from matchday.plans.features import target_week_inputs
 from matchday.plans.tables import training_data
 from matchday.registry import Inputs, query
-from matchday.registry.oracle import CURRENT, TARGET, with_tables
+from matchday.registry.oracle import CURRENT, KICKING_JOIN, SIDE_JOIN, TARGET, TRAINING_ROWS, columns, with_tables
 from matchday.registry.projections import TRAINING_SQL
 from matchday.registry.storage import ODDS
-from matchday.workspace import materialise
+from matchday.workspace import materialise, new_folder
 
-# Small forests keep a rows-only query quick; the library default is larger.
-FOREST = L.ForestSettings(trees=10, max_depth=5)
+# All trees of the default, of a bounded depth: deeper levels take Spark ML a job each.
+FOREST = L.ForestSettings(max_depth=6)
 
 
 @query("ml_split_xy", TRAINING_SQL.replace("s.home_team, s.away_team, s.outcome,", "s.outcome,", 1))
@@ -156,10 +156,31 @@ def _weighted_training(i: Inputs) -> DataFrame:
     return materialise(rows.where(training_rows(i.cfg)), "training")
 
 
-@query("ml_cv")
+_TRAINING = f"""(
+    SELECT s.game_id, s.outcome, {columns(GAME_FEATURES, "s")}, {columns(SIDE_FEATURES, "hs", "_home")}, {columns(SIDE_FEATURES, "aw", "_away")}
+    FROM int_schedules AS s {SIDE_JOIN} {KICKING_JOIN})"""
+
+
+def _training_sql(body: str, where: str = TRAINING_ROWS) -> str:
+    """``body`` over ``training``, the repeated training rows, and ``games_trained``, each of them once."""
+    both = f"training AS (SELECT * FROM {_TRAINING} AS whole WHERE {where}), games_trained AS (SELECT DISTINCT * FROM training)"
+    return with_tables("", "int_schedules", "int_team_stats", "kicking_stats").rstrip() + f",\n{both}\n{body}"
+
+
+def _is_share(column: str) -> Column:
+    return q(column).between(0.0, 1.0)
+
+
+def _is_class(column: str = "predicted_outcome") -> Column:
+    return q(column).isin(0, 1)
+
+
+@query("ml_cv", _training_sql("SELECT CAST(5 AS INTEGER) AS folds, count(*) AS rows, true AS is_share FROM training"))
 def ml_cv(i: Inputs) -> DataFrame:
-    accuracy = L.cross_validated_accuracy(_weighted_training(i), TRAINING_FEATURES, "game_id", FOREST, weight="weight")
-    return i.spark.createDataFrame([(5, float(accuracy))], "folds int, accuracy double")
+    rows = _weighted_training(i)
+    accuracy = L.cross_validated_accuracy(rows, TRAINING_FEATURES, "game_id", FOREST, weight="weight")
+    found = rows.agg(F.lit(5).alias("folds"), F.sum("weight").alias("rows"), F.lit(float(accuracy)).alias("accuracy"))
+    return found.select("folds", "rows", _is_share("accuracy").alias("is_share"))
 
 
 def _model(i: Inputs):
@@ -167,33 +188,58 @@ def _model(i: Inputs):
     return L.fit_forest(rows, TRAINING_FEATURES, FOREST, "weight"), rows
 
 
-@query("ml_rf")
+@query("ml_rf", _training_sql("SELECT outcome AS label, count(*) AS support, true AS is_class FROM training GROUP BY outcome"))
 def ml_rf(i: Inputs) -> DataFrame:
+    """Of the confusion counts of a forest, what does not depend on its draws: the support of every label."""
     model, rows = _model(i)
-    return L.score_counts(model, rows, "weight")
+    counts = L.score_counts(model, rows, "weight")
+    return counts.groupBy("label").agg(F.sum("n").alias("support"), F.every(_is_class("prediction")).alias("is_class"))
 
 
-@query("ml_predict")
+_THIS_WEEK = f"SELECT game_id, home_team, away_team, week, true AS is_class FROM int_schedules WHERE season = {CURRENT} AND week = {TARGET}"
+
+
+@query("ml_predict", with_tables(_THIS_WEEK, "int_schedules"))
 def ml_predict(i: Inputs) -> DataFrame:
     model, _ = _model(i)
     inputs = target_week_inputs(i.games, i.team_stats, i.cfg)
-    return L.predict(model, inputs, ["game_id", "home_team", "away_team", "week"])
+    found = L.predict(model, inputs, ["game_id", "home_team", "away_team", "week"])
+    return found.select("game_id", "home_team", "away_team", "week", _is_class().alias("is_class"))
+
 
+_FEATURE_NAMES = ", ".join(f"('{c}')" for c in TRAINING_FEATURES)
 
-@query("ml_importance")
+
+@query("ml_importance", f"SELECT feature, true AS is_share, true AS adds_up FROM (VALUES {_FEATURE_NAMES}) AS names(feature)")
 def ml_importance(i: Inputs) -> DataFrame:
     model, rows = _model(i)
-    return L.top(L.importances(model, rows))
+    found = L.importances(model, rows)
+    total = found.agg(F.round(F.sum("importance"), 9).alias("total"))
+    return found.join(F.broadcast(total)).select("feature", _is_share("importance").alias("is_share"), (q("total") == 1).alias("adds_up"))
+
+
+_PIPELINE = (
+    " UNION ALL ".join(
+        f"SELECT 'null_count' AS section, '{c}' AS name, CAST(count(*) FILTER (\"{c}\" IS NULL) AS DOUBLE) AS value FROM games_trained HAVING value > 0"
+        for c in TRAINING_FEATURES
+    )
+    + " UNION ALL SELECT 'score', unnest(['accuracy', 'roc_auc', 'cv_accuracy']), 1.0"
+    + f" UNION ALL SELECT 'support', CAST(outcome AS VARCHAR), CAST(count(*) AS DOUBLE) FROM training WHERE NOT ({_bucket('game_id')}) GROUP BY outcome"
+    + f" UNION ALL SELECT 'importance', 'features', CAST({len(TRAINING_FEATURES)} AS DOUBLE)"
+)
 
 
-@query("ml_pipeline")
+@query("ml_pipeline", _training_sql(_PIPELINE))
 def ml_pipeline(i: Inputs) -> DataFrame:
+    """Nulls and supports as they are; a score or an importance shows as 1 where it is a share."""
     run = L.train_and_report(_weighted_training(i), TRAINING_FEATURES, settings=FOREST, weight="weight")
+    classes = run.report.where(q("class").isin("0", "1") & (q("support") > 0))
+    ranked = run.importances.where(_is_share("importance")).agg(F.count(F.lit(1)).cast("double").alias("value"))
     parts = [
         run.nulls.select(F.lit("null_count").alias("section"), q("column_name").alias("name"), q("null_count").cast("double").alias("value")),
-        run.scores.select(F.lit("score").alias("section"), q("metric").alias("name"), q("value")),
-        run.report.select(F.lit("f1").alias("section"), q("class").alias("name"), q("f1").alias("value")),
-        L.top(run.importances).select(F.lit("importance").alias("section"), q("feature").alias("name"), q("importance").alias("value")),
+        run.scores.select(F.lit("score").alias("section"), q("metric").alias("name"), _is_share("value").cast("double").alias("value")),
+        classes.select(F.lit("support").alias("section"), q("class").alias("name"), q("support").cast("double").alias("value")),
+        ranked.select(F.lit("importance").alias("section"), F.lit("features").alias("name"), "value"),
     ]
     out = parts[0]
     for part in parts[1:]:
@@ -201,9 +247,44 @@ def ml_pipeline(i: Inputs) -> DataFrame:
     return out
 
 
-@query("ml_backtest")
+_WALKED = f"""
+SELECT g.game_id, g.home_team, g.away_team, g.season, g.week, true AS is_class, true AS is_scored,
+       count(*) OVER (PARTITION BY g.week) AS games, CAST(train_rows AS BIGINT) AS train_rows
+FROM int_schedules AS g JOIN (
+    SELECT CAST(w AS INTEGER) AS week, count(*) AS train_rows
+    FROM training, (SELECT unnest(range(1, 23)) AS w) AS weeks
+    WHERE CASE WHEN w = 1 THEN season = {CURRENT} - 1 ELSE season < {CURRENT} OR (season = {CURRENT} AND week < w) END
+    GROUP BY w
+) AS before ON before.week = g.week
+WHERE g.season = {CURRENT}
+"""
+
+
+@query("ml_backtest", _training_sql(_WALKED, "true"))
 def ml_backtest(i: Inputs) -> DataFrame:
-    return walk_forward(i.games, i.team_stats, i.cfg, settings=L.ForestSettings(trees=5, max_depth=4))
+    """Every week of the season, each predicted once: a run over its first weeks, and one that goes on."""
+    folder = new_folder(i.spark, "ledger")
+    small = L.ForestSettings(trees=20, max_depth=4)
+    walk_forward_ledger(i.games, i.team_stats, i.cfg, folder, range(1, i.cfg.cutoff_week), small)
+    periods = walk_forward_ledger(i.games, i.team_stats, i.cfg, folder, None, small)
+    scored = periods.select("season", "week", "games", "train_rows", _is_share("hold_out_accuracy").alias("is_scored"))
+    found = ledger_predictions(i.spark, folder).join(scored, ["season", "week"])
+    return found.select("game_id", "home_team", "away_team", "season", "week", _is_class().alias("is_class"), "is_scored", "games", "train_rows")
+
+
+_RANK_AUC = """
+SELECT round((sum(place) FILTER (outcome = 1) - n_up * (n_up + 1) / 2) / (n_up * n_down), 9) AS roc_auc
+FROM (SELECT outcome, rank() OVER (ORDER BY spread_line) + (count(*) OVER (PARTITION BY spread_line) - 1) / 2 AS place
+      FROM int_schedules WHERE spread_line IS NOT NULL) AS placed,
+     (SELECT count(*) FILTER (outcome = 1) AS n_up, count(*) FILTER (outcome = 0) AS n_down FROM int_schedules WHERE spread_line IS NOT NULL) AS sizes
+GROUP BY n_up, n_down
+"""
+
+
+@query("ml_auc_scores", with_tables(_RANK_AUC, "int_schedules"))
+def ml_auc_scores(i: Inputs) -> DataFrame:
+    """The area under the ROC curve of a score with ties, the spread."""
+    return M.auc_of_scores(i.games, "outcome", "spread_line").select(F.round("roc_auc", 9).alias("roc_auc"))
 
 
 _SCORED = """

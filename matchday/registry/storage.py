@@ -206,12 +206,15 @@ def sink_training_snapshot(i: Inputs) -> DataFrame:
     return i.spark.read.schema(rows.schema).parquet(path)
 
 
-@query("sink_model")
+@query("sink_model", with_tables("SELECT game_id, home_team, away_team, true AS is_class, true AS as_before FROM int_schedules", "int_schedules"))
 def sink_model(i: Inputs) -> DataFrame:
+    """Whether a stored model predicts every game, and as it did before it was stored."""
     path = _path(i, "model")
-    model = fit_forest(i.games, list(GAME_FEATURES), ForestSettings(trees=10, max_depth=4))
+    model = fit_forest(i.games, list(GAME_FEATURES), ForestSettings(max_depth=4))
     sinks.save_model(model, path)
-    return predict(sinks.load_model(path), i.games)
+    before = predict(model, i.games, ["game_id"]).select(q("game_id").alias("id"), q("predicted_outcome").alias("before"))
+    found = predict(sinks.load_model(path), i.games).join(before, q("game_id") == q("id"))
+    return found.select("game_id", "home_team", "away_team", q("predicted_outcome").isin(0, 1).alias("is_class"), (q("predicted_outcome") == q("before")).alias("as_before"))
 
 
 @query(

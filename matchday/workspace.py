@@ -33,6 +33,12 @@ def new_folder(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark)}/matchday/{label}-{uuid.uuid4().hex}"
 
 
+def is_written(spark: SparkSession, path: str) -> bool:
+    """Whether there is something at ``path``, in whatever store it names."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at)
+
+
 def materialise(df: DataFrame, label: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
     """Write ``df`` once and continue from the written table.
 

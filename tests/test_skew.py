@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from matchday.operators import aggregate as A
 from matchday.operators.joins import join_result, join_sides
-from matchday.operators.quantiles import exact_percentiles, ranked_values
+from matchday.operators.quantiles import bracketed_values, exact_percentiles, ranked_values
 from matchday.operators.sampling import in_training_part, with_folds
 from matchday.operators.skew import SkewPolicy, keyed_join, salted_join
 from matchday.plans import tables as T
@@ -129,6 +129,26 @@ def test_percentiles_of_a_hot_group(spark):
         np.testing.assert_allclose(found[group], np.percentile(values[groups == group], [10, 50, 75]))
 
 
+@pytest.mark.parametrize("accuracy", [4, 20, 100])
+def test_brackets_hold_the_percentiles(spark, accuracy):
+    data = np.random.default_rng(accuracy)
+    groups = {"ties": data.integers(0, 3, 3000), "normal": data.normal(size=5001), "skewed": np.exp(data.normal(size=2999) * 3), "few": data.normal(size=7)}
+    groups |= {f"n{n}": data.integers(0, 50, n) for n in range(1, 24)}
+    pairs = [(g, float(v)) for g, values in groups.items() for v in values]
+    df = spark.createDataFrame(pairs, "g string, v double").repartition(6)
+    probabilities = [0.75, 0.0, 0.5, 0.1, 1.0]
+    for r in exact_percentiles(df, ["g"], ["v"], probabilities, accuracy).collect():
+        wanted = np.percentile(groups[r["g"]], [75, 0, 50, 10, 100])
+        np.testing.assert_allclose([r["p75"], r["p00"], r["p50"], r["p10"], r["p100"]], wanted, rtol=1e-12)
+
+
+def test_only_bracketed_values_move(spark):
+    df = spark.range(200_000).select(F.lit("one").alias("g"), (F.col("id") * 7919 % 200_003).cast("double").alias("v"))
+    inside = bracketed_values(df, ["g"], ["v"], [0.25, 0.5, 0.75], 1000)
+    assert 0 < inside.count() < 3 * 200_000 * 6 / 1000
+    assert "RangePartitioning" not in inside._jdf.queryExecution().executedPlan().toString()
+
+
 def test_one_group_is_cut_into_slices(spark):
     df = spark.range(20000).select(F.lit("one").alias("g"), F.col("id").cast("double").alias("v"))
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
