@@ -61,6 +61,22 @@ def with_salt(rows: DataFrame, key: str = "id", salt: str = "salt") -> DataFrame
     return joined.withColumn(salt, F.when(F.col("_is_again"), number).otherwise(F.lit(0))).drop("_again", "_is_again")
 
 
+def with_copies_numbered(rows: DataFrame, salt: str = "salt", at_once: int = 1000) -> DataFrame:
+    """``rows`` plus ``salt``: a hash of all columns and of the number of a row among those equal to it.
+
+    Equal rows are counted and made again, so the numbers do not depend on where a row stood. Many copies of a row
+    are made in blocks that are dealt out first, so no task makes them all.
+    """
+    counted = rows.groupBy(*rows.columns).agg(F.count("*").alias("_n"))
+    counted = counted.withColumn("_block", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("_n") - 1) / at_once))))
+    many = counted.where(F.col("_n") > at_once).repartition(*rows.columns, "_block")
+    blocks = counted.where(F.col("_n") <= at_once).union(many)
+    first = F.col("_block") * at_once
+    numbers = F.sequence(first + 1, F.least(first + at_once, F.col("_n")))
+    made = blocks.withColumn("_number", F.explode(numbers))
+    return made.withColumn(salt, F.xxhash64(*rows.columns, "_number")).select(*rows.columns, salt)
+
+
 def components(nodes_and_links: DataFrame, label: str) -> DataFrame:
     """(node, component): the smallest node reachable over links (a, b), for every node that has one.
 
@@ -96,19 +112,19 @@ def held_out(id_col: Column) -> Column:
     return F.crc32(F.coalesce(id_col.cast("string"), F.lit("")).cast("binary")) % 4 == 2
 
 
-def sampled(rows: DataFrame, label: str, per_label: int, *key: str, most_labels: int = 1000) -> DataFrame:
+def sampled(rows: DataFrame, label: str, per_label: int, *key: str, most: int | None = None) -> DataFrame:
     """About ``per_label`` rows of every non-null label (all, if it has fewer), drawn by a hash of ``key``.
 
-    For the training of models, which see a bounded number of rows whatever the table.
+    For the training of models, which see a bounded number of rows whatever the table. ``most`` bounds the rows of
+    all labels together (a thousand times ``per_label`` if it is not given): with more labels than that allows,
+    each gives its even part of it, be it less than a row.
     """
     rows = rows.where(F.col(label).isNotNull())
-    counts = {r[0]: r[1] for r in rows.groupBy(label).count().limit(most_labels + 1).collect()}
-    if len(counts) > most_labels:
-        raise ValueError(f"more than {most_labels} labels")
-    if not counts:
-        return rows
-    rates = F.create_map(*[F.lit(x) for name, n in counts.items() for x in (name, min(1.0, per_label / n))])
-    return rows.where(unit_draw(*[F.col(k) for k in key], F.lit("sample")) < F.element_at(rates, F.col(label)))
+    counts = materialise(rows.groupBy(F.col(label).alias("_label")).agg(F.count("*").alias("_n")), "sample-labels")
+    each = min(float(per_label), (most or 1000 * per_label) / max(1, counts.count()))
+    joined = rows.join(counts, F.col(label) == F.col("_label"))
+    drawn = unit_draw(*[F.col(k) for k in key], F.lit("sample")) < F.lit(each) / F.col("_n")
+    return joined.where(drawn).drop("_label", "_n")
 
 
 def leave_one(docs: DataFrame, acts: DataFrame, group: str, id_col: str, text_col: str) -> DataFrame:

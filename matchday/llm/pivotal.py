@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from matchday.llm.common import WHITE_SPACE, named, text_key, unit_draw, with_salt
+from matchday.llm.common import WHITE_SPACE, named, text_key, unit_draw, with_copies_numbered
 from matchday.workspace import materialise
 
 #: Copy probabilities that one node of the reduction tree combines, on average.
@@ -114,8 +114,8 @@ def mixed(
     a source has the same expected copies, target / source_size; the whole part is certain, the rest is
     rounded by pivots, in units of words, so that the words taken of a source stay within one document
     of its target and no document is taken more than ``most`` times, rounded up. The draws depend on
-    ids alone, so a rerun agrees; rows that share an id (null included) are told apart by their place
-    in the input. ``key`` hashes the text. Other columns are ignored, whatever their names. Sources
+    the id, text and source of a row alone, so a rerun agrees however the input is split; rows that are equal in
+    these (null ids included) are numbered, and any of them may be the one that is taken. ``key`` hashes the text. Other columns are ignored, whatever their names. Sources
     without words have target 0, and an empty table gives an empty result.
     """
     text = named(text_col).cast("string")
@@ -125,7 +125,7 @@ def mixed(
         named(source_col).cast("string").alias("source"),
         word_count(text).alias("size"),
     )
-    rows = materialise(with_salt(materialise(rows, "mix-words")), "mix-rows")
+    rows = materialise(with_copies_numbered(rows), "mix-rows")
     sizes = rows.groupBy("source").agg(F.sum("size").alias("source_size"))
     targets = materialise(source_targets(sizes, weights, share, most), "mix-sources")
     targets = targets.select(F.col("source").alias("_source"), "source_size", "target")

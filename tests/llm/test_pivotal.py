@@ -71,3 +71,12 @@ def test_odd_rows(odd, empty):
 def test_no_python(spark, documents):
     plan = mixed(spark.createDataFrame(documents))._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_reruns_agree_however_the_input_is_split(spark):
+    rows = [(i // 2 if i % 3 else None, f"{'word ' * (i % 17)}{i % 5}", "ab"[i % 2]) for i in range(900)] + [(7, "again and again", "a")] * 2500
+    frame = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    found = [sorted(((r.id, r.key, r.source, r.taken) for r in mixed(frame.repartition(n)).collect()), key=repr) for n in (1, 7)]
+    assert found[0] == found[1] and len(found[0]) == len(rows)
+    words = sum(len(t.split()) for _, t, _ in rows)
+    assert abs(sum(r[3] for r in found[0]) - 1.5 * words) <= 2 * 17
