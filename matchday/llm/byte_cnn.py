@@ -12,8 +12,8 @@ from matchday.llm.common import in_small_batches, named, sampled, text_key, with
 
 #: Bytes of a window; widths of the filters, filters of each width, size of a byte's embedding.
 WINDOW, WIDTHS, FILTERS, EMBEDDING = 256, (2, 3, 4), 16, 6
-#: The training sample: documents of each language, windows of each document.
-DOCUMENTS_PER_LANGUAGE, WINDOWS_PER_DOCUMENT = 1500, 4
+#: The training sample: documents of each language, windows of each document, and documents of all languages.
+DOCUMENTS_PER_LANGUAGE, WINDOWS_PER_DOCUMENT, MOST_DOCUMENTS = 1500, 4, 60_000
 #: Windows that go through the network at once.
 BATCH = 512
 UNKNOWN = "und"
@@ -131,7 +131,8 @@ def _training_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBa
 def train(docs: DataFrame, learn: Column, lang_col: str = "lang", id_col: str = "doc_id", text_col: str = "text") -> ByteCNN | None:
     """Fits the network on rows where ``learn`` holds and the language is not null; None if there is none.
 
-    The sample is bounded: about DOCUMENTS_PER_LANGUAGE documents of each language, drawn by hash, and
+    The sample is bounded: about DOCUMENTS_PER_LANGUAGE documents of each language, drawn by hash (evenly fewer
+    where there are so many languages that it would be more than MOST_DOCUMENTS), and
     WINDOWS_PER_DOCUMENT windows from any place in each. Equal windows of a language count once, so
     copies weigh nothing. The driver holds 256 bytes for each window.
     """
@@ -139,7 +140,7 @@ def train(docs: DataFrame, learn: Column, lang_col: str = "lang", id_col: str =
     rows = in_small_batches(docs).where(learn).select(
         named(id_col).cast("string").alias("id"), named(lang_col).cast("string").alias("lang"), text.alias("text"), text_key(text).alias("key")
     )
-    chosen = sampled(rows, "lang", DOCUMENTS_PER_LANGUAGE, "key", "id").select("lang", "text", "key")
+    chosen = sampled(rows, "lang", DOCUMENTS_PER_LANGUAGE, "key", "id", most=MOST_DOCUMENTS).select("lang", "text", "key")
     found = chosen.mapInArrow(_training_windows, "lang string, window binary").distinct().collect()
     if not found:
         return None

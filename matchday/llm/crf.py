@@ -312,10 +312,10 @@ def train(docs: DataFrame, labels: DataFrame, learn: Column, id_col: str = "doc_
     of documents; those of words come from the places that a word has in toxic and in other documents
     of the sample. A few chains of each document train the field, and the documents' own sums and maxima of
     marginals the calibration. Without a toxic or another document the model scores every text alike.
-    A null id has no label; of labels that repeat for an id any one is taken.
+    A null id or label marks nothing; of labels that repeat for an id the highest is taken.
     """
     marked = labels.where(learn).where(named(id_col).isNotNull()).select(named(id_col).alias("id"), named(label_col).cast("int").alias("toxic"))
-    drawn = sampled(marked, "toxic", DOCUMENTS_PER_LABEL, "id").dropDuplicates(["id"])
+    drawn = sampled(marked.groupBy("id").agg(F.max("toxic").alias("toxic")), "toxic", DOCUMENTS_PER_LABEL, "id")
     texts = docs.select(named(id_col).alias("id"), named(text_col).cast("string").alias("text"))
     # both labels' sample is bounded, so is the side that is sent to every task
     sample = materialise(texts.join(F.broadcast(drawn), "id").dropDuplicates(["text", "toxic"]).select("text", "toxic"), "toxic-sample")

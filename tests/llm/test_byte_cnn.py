@@ -1,10 +1,12 @@
 from __future__ import annotations
 
+import math
+
 import numpy as np
 from pyspark.sql import functions as F
 
 from matchday.llm.byte_cnn import WIDTHS, WINDOW, ByteCNN, identify, train, windows_of
-from matchday.llm.common import held_out
+from matchday.llm.common import held_out, sampled
 
 
 def test_held_out_accuracy(spark):
@@ -53,3 +55,34 @@ def test_windows_cover_the_text():
     text = bytes(range(256)) * 3 + b"end"
     assert windows_of(text).tobytes().rstrip(b"\0") == text
     assert windows_of(b"").shape == (1, WINDOW) and max(WIDTHS) < WINDOW
+
+
+def test_more_labels_than_rows_to_learn_from(spark):
+    rows = spark.range(6000).select(F.col("id").alias("doc_id"), (F.col("id") % 1200).cast("string").alias("lang"))
+    drawn = sampled(rows, "lang", 1000, "doc_id", most=600)
+    assert 400 < drawn.count() < 800 and drawn.columns == rows.columns
+    assert sampled(rows, "lang", 3, "doc_id").groupBy("lang").count().count() > 900
+
+
+def plainly(net, window):
+    filters, bias, logits = net.weights["filters"], net.weights["bias"], net.weights["out_bias"].astype(float).tolist()
+    rows = [net.weights["embedding"][b].astype(float).tolist() for b in window]
+    for f in range(filters.shape[1]):
+        width = WIDTHS[f // (filters.shape[1] // len(WIDTHS))]
+        column = filters[:, f].astype(float).tolist()
+        size = len(rows[0])
+        best = max(
+            sum(x * column[k * size + e] for k in range(width) for e, x in enumerate(rows[place + k])) for place in range(len(window) - max(WIDTHS) + 1)
+        )
+        logits = [old + max(0.0, best + float(bias[f])) * float(w) for old, w in zip(logits, net.weights["out"][f], strict=True)]
+    odds = [math.exp(x - max(logits)) for x in logits]
+    return [x / sum(odds) for x in odds]
+
+
+def test_prediction_equals_plain_loops():
+    """Embedding, filters of each width, their maximum over all places, and softmax, one number at a time."""
+    draw = np.random.default_rng(3)
+    windows = draw.integers(0, 256, (2, WINDOW)).astype(np.uint8)
+    net = ByteCNN(["a", "b", "c"])
+    assert net.predict(windows).shape == (2, 3)
+    np.testing.assert_allclose(net.predict(windows), [plainly(net, w) for w in windows], rtol=1e-3, atol=1e-5)
