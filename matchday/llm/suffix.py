@@ -19,7 +19,7 @@ from matchday.workspace import materialise, new_folder
 #: Bytes of a string, and of the first strings whose ranks are compared between texts. The length doubles from there.
 THRESHOLD, FIRST = 100, 36
 #: Bytes of texts that a worker holds at a time, and positions that it ranks at a time (less than 2 ** 20).
-CHUNK, BLOCK = 16 << 20, 1 << 19
+CHUNK, BLOCK = 8 << 20, 1 << 19
 #: Sampled ranks that one task compares, on average.
 RANKS_PER_SHARD = 1 << 18
 #: Most tasks over which the chunks of texts are spread.
