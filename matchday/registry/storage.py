@@ -82,6 +82,42 @@ def src_csv(i: Inputs) -> DataFrame:
     return rows.withColumn("game_id", q("game_id").cast("string"))
 
 
+_WITH_REJECTS = with_tables(
+    f"""SELECT {columns(GAME)}, spread_line, CAST((SELECT count(*) FROM stg_schedules WHERE week % 5 = 0) AS BIGINT) AS rejects
+        FROM stg_schedules WHERE week % 5 <> 0""",
+    "stg_schedules",
+)
+
+
+@query("src_csv_rejects", _WITH_REJECTS)
+def src_csv_rejects(i: Inputs) -> DataFrame:
+    """Lines of every fifth week carry a text where a number belongs; they are counted, the others are read by the schema."""
+    path = _path(i, "csv")
+    rows = i.feed_games.select(*GAME, "spread_line")
+    spoilt = F.when(q("week") % 5 == 0, F.lit("n/a")).otherwise(q("spread_line").cast("string"))
+    rows.withColumn("spread_line", spoilt).write.option("header", True).csv(path)
+    good, bad = feeds.read_csv_strictly(i.spark, path, rows.schema, _path(i, "rejects"))
+    return good.join(F.broadcast(bad.agg(F.count(F.lit(1)).alias("rejects"))))
+
+
+_EVOLVED = with_tables(
+    f"""SELECT game_id, CAST(season AS BIGINT) AS season, CAST(week AS DOUBLE) AS week, home_team,
+               CASE WHEN season >= {CURRENT} THEN away_team END AS away_team, CASE WHEN season < {CURRENT} THEN home_score END AS home_score
+        FROM stg_schedules""",
+    "stg_schedules",
+)
+
+
+@query("sink_append_evolving", _EVOLVED)
+def sink_append_evolving(i: Inputs) -> DataFrame:
+    """Two feeds with different columns, and types that widen, in one table."""
+    path = _path(i, "evolving")
+    old, new = i.feed_games.where(f"season < {CURRENT}"), i.feed_games.where(f"season >= {CURRENT}")
+    sinks.append_evolving(old.select("game_id", "season", "week", "home_team", "home_score"), path)
+    sinks.append_evolving(new.select("home_team", "game_id", q("season").cast("long").alias("season"), q("week").cast("double").alias("week"), "away_team"), path)
+    return sinks.read_evolving(i.spark, path)
+
+
 @query("sink_replace", table("int_team_stats", STAT))
 def sink_replace(i: Inputs) -> DataFrame:
     name, path = _table_name("team_stats"), _path(i, "replace")

@@ -12,7 +12,7 @@ from operator import or_
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from matchday.operators.joins import distinct_periods, unseen_periods
 from matchday.sources.sinks import append_table, replace_table
@@ -132,6 +132,29 @@ def read_csv(spark: SparkSession, path: str, schema: StructType | str | None = N
     return reader.csv(path)
 
 
+#: Column of the lines that do not fit the schema.
+REJECTED = "rejected_line"
+
+
+def read_csv_strictly(spark: SparkSession, path: str, schema: StructType | str, rejects: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """(rows, rejected lines) of CSV with a header, by an explicit schema.
+
+    A line with a value that is not of its column's type, or with too many or too few values, is rejected whole and kept as
+    text. Both come from one pass over the files, written first: Spark would otherwise parse only the
+    columns a query asks for, and take a line for good whose bad value is in another. ``rejects`` names a folder
+    that the rejected lines are also stored in.
+    """
+    wanted = schema if isinstance(schema, StructType) else StructType.fromDDL(schema)
+    with_line = StructType([*wanted.fields, StructField(REJECTED, StringType())])
+    reader = spark.read.option("header", True).option("mode", "PERMISSIVE").option("enforceSchema", False)
+    parsed = materialise(reader.option("columnNameOfCorruptRecord", REJECTED).schema(with_line).csv(path), "csv")
+    good = parsed.where(F.col(REJECTED).isNull()).drop(REJECTED)
+    bad = parsed.where(F.col(REJECTED).isNotNull()).select(REJECTED)
+    if rejects:
+        bad.write.mode("overwrite").parquet(rejects)
+    return good, bad
+
+
 def preview(df: DataFrame, order_by: Sequence[str], rows: int = 5) -> DataFrame:
     """The first rows in a given order; Spark keeps only ``rows`` per task."""
     return df.orderBy(*order_by).limit(rows)

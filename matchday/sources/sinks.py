@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
@@ -48,6 +49,63 @@ def append_table(df: DataFrame, table: str, path: str | None = None) -> None:
     write_table(df, table, "append", path)
 
 
+#: Types that widen without loss, narrowest first. Text takes nothing else, and nothing takes text.
+WIDENING = ("byte", "short", "integer", "long", "double")
+
+
+def evolved_schema(stored: StructType, new: StructType) -> StructType:
+    """All columns of both, stored ones first; a column of both has the wider type.
+
+    Raises where neither type holds the other. A long becomes a double only next to a double: such a
+    column loses digits beyond 53 bits, as any number column of a feed does.
+    """
+    fields = {f.name: f for f in stored.fields}
+    for f in new.fields:
+        known = fields.get(f.name)
+        if known is None or known.dataType == f.dataType:
+            fields.setdefault(f.name, StructField(f.name, f.dataType))
+            continue
+        names = [known.dataType.typeName(), f.dataType.typeName()]
+        if not all(n in WIDENING for n in names):
+            raise ValueError(f"{f.name} is stored as {names[0]} and arrives as {names[1]}")
+        wider = max((known, f), key=lambda x: WIDENING.index(x.dataType.typeName()))
+        fields[f.name] = StructField(f.name, wider.dataType)
+    return StructType(list(fields.values()))
+
+
+def append_evolving(df: DataFrame, path: str) -> StructType:
+    """Append to the parquet files at ``path`` whatever columns ``df`` has, and return the schema of all of them.
+
+    Every append is a folder of its own, named by its number, written as its rows came; nothing stored is rewritten.
+    :func:`read_evolving` reads old and new folders by the common schema. A column whose type cannot be widened is refused
+    before anything is written.
+    """
+    spark = df.sparkSession
+    versions = stored_versions(spark, path)
+    schema = reduce(evolved_schema, [spark.read.parquet(v).schema for v in versions], StructType())
+    schema = evolved_schema(schema, df.schema)
+    df.write.mode("errorifexists").parquet(f"{path}/append={len(versions):06d}")
+    return schema
+
+
+def stored_versions(spark: SparkSession, path: str) -> list[str]:
+    """The folders of :func:`append_evolving` that were written to the end, in order."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/append=*/_SUCCESS")
+    found = at.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(at)
+    return sorted(str(x.getPath().getParent()) for x in (found or []))
+
+
+def read_evolving(spark: SparkSession, path: str) -> DataFrame:
+    """All appended rows: a column that an append did not have is NULL in its rows, a narrower one is widened."""
+    versions = [spark.read.parquet(v) for v in stored_versions(spark, path)]
+    schema = reduce(evolved_schema, [v.schema for v in versions], StructType())
+
+    def conformed(df: DataFrame) -> DataFrame:
+        return df.select(*[(q(f.name) if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in schema.fields])
+
+    return reduce(DataFrame.unionByName, [conformed(v) for v in versions])
+
+
 def store_query(spark: SparkSession, text: str, table: str, if_exists: str = "replace", path: str | None = None, **frames: DataFrame) -> DataFrame:
     """Run a query text and store its result; ``if_exists`` is replace, append or fail."""
     write_table(spark.sql(text, **frames), table, _MODES[if_exists], path)

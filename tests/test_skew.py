@@ -171,6 +171,16 @@ def test_folds_are_balanced_and_stable(spark):
     assert rows(folded) == rows(with_folds(df.repartition(3), "k", "y"))
 
 
+def test_folds_do_not_depend_on_the_buckets(spark):
+    df = spark.range(5000).select(F.col("id").cast("string").alias("k"), F.when(F.col("id") % 3 > 0, 1).alias("y"))
+    wanted = rows(with_folds(df, "k", "y"))
+    assert len(wanted) == 5000
+    # a label holds two thirds of the rows; its buckets are refined twice
+    for most in (1, 40, 700):
+        assert rows(with_folds(df, "k", "y", bucket_rows=most)) == wanted
+    assert with_folds(df.limit(0), "k", "y").collect() == []
+
+
 def test_split_share(spark):
     df = spark.range(20000).select(F.col("id").cast("string").alias("k"))
     assert abs(df.where(in_training_part(F.col("k"))).count() / 20000 - 0.7) < 0.02

@@ -197,3 +197,21 @@ def test_imports_take_every_season_the_table_has(spark):
     later.feed_weekly = later.feed_weekly.withColumn("season", F.col("season") + 10)
     assert storage.src_bootstrap(later).count() == later.feed_games.count() > 0
     assert storage.src_incremental(later).count() == later.feed_weekly.where(f"NOT ({storage.STORED})").count() > 0
+
+
+def test_csv_keeps_the_lines_that_do_not_fit(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("a,b,c\n1,x,2.5\n2,y,oops\n3,z\nfour,x,1\n5,,\n6,x,1,7\n")
+    rejects = str(tmp_path / "rejects")
+    good, bad = feeds.read_csv_strictly(spark, str(tmp_path / "a.csv"), "a int, b string, c double", rejects)
+    assert rows(good) == [(1, "x", 2.5), (5, None, None)]
+    assert rows(bad) == rows(spark.read.parquet(rejects)) == [("2,y,oops",), ("3,z",), ("6,x,1,7",), ("four,x,1",)]
+
+
+def test_appends_with_other_columns(spark, table):
+    _, path = table
+    sinks.append_evolving(spark.createDataFrame([(1, 2, "x")], "a int, b int, c string"), path)
+    schema = sinks.append_evolving(spark.createDataFrame([(2**40, 0.5, True)], "a long, b double, d boolean"), path)
+    assert [(f.name, f.dataType.simpleString()) for f in schema.fields] == [("a", "bigint"), ("b", "double"), ("c", "string"), ("d", "boolean")]
+    with pytest.raises(ValueError, match="c is stored as string"):
+        sinks.append_evolving(spark.createDataFrame([(1, 5)], "a int, c int"), path)
+    assert rows(sinks.read_evolving(spark, path)) == [(1, 2.0, "x", None), (2**40, 0.5, None, True)]
