@@ -67,7 +67,7 @@ def with_copies_numbered(rows: DataFrame, salt: str = "salt", at_once: int = 100
     Equal rows are counted and made again, so the numbers do not depend on where a row stood. Many copies of a row
     are made in blocks that are dealt out first, so no task makes them all.
     """
-    counted = rows.groupBy(*rows.columns).agg(F.count("*").alias("_n"))
+    counted = materialise(rows.groupBy(*rows.columns).agg(F.count("*").alias("_n")), "counted-rows")
     counted = counted.withColumn("_block", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("_n") - 1) / at_once))))
     many = counted.where(F.col("_n") > at_once).repartition(*rows.columns, "_block")
     blocks = counted.where(F.col("_n") <= at_once).union(many)
