@@ -5,18 +5,20 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from matchday.config import GAME_FEATURES, SIDE_FEATURES, TRAINING_FEATURES
+from matchday.config import DERIVED_MEASURES, GAME_FEATURES, NON_FEATURES, PROFILE_SPEC, SCHEDULE_COLUMNS, SIDE_FEATURES, TRAINING_FEATURES, WEEKLY_MEASURES, both_sides
 from matchday.functions.predicates import target_rows, training_rows
 from matchday.functions.projections import q
 from matchday.operators import metrics as M
 from matchday.operators.impute import impute_means
 from matchday.operators.sampling import in_training_part, with_folds
+from matchday.plans import prediction as K
 from matchday.plans import training as L
 from matchday.plans.backtest import backtest_score, favourite_baseline, ledger_predictions, walk_forward_ledger
 from matchday.plans.features import target_week_inputs
 from matchday.plans.tables import training_data
 from matchday.registry import Inputs, query
 from matchday.registry.oracle import CURRENT, KICKING_JOIN, SIDE_JOIN, TARGET, TRAINING_ROWS, columns, with_tables
+from matchday.registry.joins import profile_sql
 from matchday.registry.projections import TRAINING_SQL
 from matchday.registry.storage import ODDS
 from matchday.workspace import materialise, new_folder
@@ -297,3 +299,46 @@ FROM baseline GROUP BY season, week
 @query("ml_backtest_score", with_tables(_SCORED, "baseline"))
 def ml_backtest_score(i: Inputs) -> DataFrame:
     return backtest_score(favourite_baseline(i.games), i.games)
+
+
+BASE_FEATURES = [c for c in SCHEDULE_COLUMNS if c not in NON_FEATURES] + both_sides([*WEEKLY_MEASURES, *DERIVED_MEASURES])
+
+
+def _profile_column(name: str) -> str:
+    """A feature of the base model, as the inputs of a prediction have it."""
+    if name in ("home_score", "away_score"):
+        return f"CAST(0 AS DOUBLE) AS {name}"
+    if name == "season_type":
+        return "CASE s.season_type WHEN 'REG' THEN 0 WHEN 'POST' THEN 1 END AS season_type"
+    if name in SCHEDULE_COLUMNS:
+        return columns([name], "s")
+    measure, alias = (name[: -len("_home")], "hp") if name.endswith("_home") else (name[: -len("_away")], "ap")
+    return f'{alias}."{measure}" AS "{name}"' if measure in PROFILE_SPEC else f'0 AS "{name}"'
+
+
+_PROFILE_INPUTS = f"""
+SELECT s.game_id, s.home_team, s.away_team, {", ".join(map(_profile_column, BASE_FEATURES))}, true AS is_class
+FROM schedules AS s
+LEFT JOIN ({profile_sql("home")}) AS hp ON hp.team = s.home_team
+LEFT JOIN ({profile_sql("away")}) AS ap ON ap.team = s.away_team
+WHERE s.season = {CURRENT} AND s.week = {TARGET}
+"""
+
+
+@query("predict_profiles", with_tables(_PROFILE_INPUTS, "schedules", "history"))
+def predict_profiles(i: Inputs) -> DataFrame:
+    """The target week by a stored model of the base table: its features by the stored contract, and whether each game got a class."""
+    history = materialise(i.base_model.where(training_rows(i.cfg)), "base-history")
+    stored = K.fit_with_contract(history, new_folder(i.spark, "base-forest"), settings=L.ForestSettings(max_depth=4))
+    inputs = materialise(K.profile_inputs(i.schedule, history, i.cfg, stored.features), "profile-inputs")
+    found = L.predict(stored.model, inputs, ["game_id"]).select(q("game_id").alias("id"), _is_class().alias("is_class"))
+    return inputs.join(found, q("game_id") == q("id")).drop("id")
+
+
+@query("predict_stored", with_tables(f"SELECT game_id, home_team, away_team, season, week, true AS is_class FROM int_schedules WHERE season = {CURRENT}", "int_schedules"))
+def predict_stored(i: Inputs) -> DataFrame:
+    """Every week of the season from trailing windows, by a model that is loaded with its contract."""
+    rows = _weighted_training(i)
+    stored = K.fit_with_contract(rows, new_folder(i.spark, "forest"), TRAINING_FEATURES, L.ForestSettings(max_depth=4), "weight")
+    found = K.predict_weeks(stored, i.games, i.team_stats, i.cfg)
+    return found.select("game_id", "home_team", "away_team", "season", "week", _is_class().alias("is_class"))

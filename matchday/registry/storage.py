@@ -17,8 +17,8 @@ from matchday.plans.training import ForestSettings, fit_forest, predict, split_f
 from matchday.registry import Inputs, query
 from matchday.registry.oracle import CURRENT, CUTOFF, TARGET, columns, table, with_tables
 from matchday.sources import feeds, sinks
-from matchday.streaming.incremental import import_stream
-from matchday.workspace import new_folder
+from matchday.streaming.incremental import import_by_event_time, import_stream
+from matchday.workspace import materialise, new_folder
 
 GAME = ["game_id", "season", "week", "game_type", "home_team", "away_team", "home_score", "away_score"]
 LINE = ["recent_team", "season", "week", "season_type", "passing_yards", "carries"]
@@ -269,3 +269,26 @@ def str_incremental(i: Inputs) -> DataFrame:
     arrived = i.spark.read.parquet(source)
     import_stream(i.spark, source, arrived.schema, arrived.where(STORED), target, _path(i, "progress"))
     return i.spark.read.schema(arrived.schema).parquet(target).select(*LINE)
+
+
+_SUMS = [f"sum({c}) AS {c}" for c in ("passing_yards", "carries")]
+_DELIVERED = f"""
+SELECT recent_team, season, season_type, week, CAST(count(*) AS BIGINT) AS lines, {", ".join(_SUMS)},
+       CAST((SELECT count(*) FROM int_team_stats WHERE season < {CURRENT}) AS BIGINT) AS late
+FROM stg_weekly_scores GROUP BY recent_team, season, season_type, week
+"""
+
+
+@query("str_event_time", with_tables(_DELIVERED, "stg_weekly_scores", "int_team_stats"))
+def str_event_time(i: Inputs) -> DataFrame:
+    """Team weeks in three deliveries: past seasons; everything again with the rest; past seasons a third time, too late by then."""
+    source, target, progress = _path(i, "arriving"), _path(i, "imported"), _path(i, "progress")
+    keys = ["recent_team", "season_type"]
+    sums = [F.count(F.lit(1)).alias("lines"), F.sum("passing_yards").alias("passing_yards"), F.sum("carries").alias("carries")]
+    rows = materialise(i.feed_weekly.groupBy("recent_team", "season", "season_type", "week").agg(*sums), "team-weeks")
+    past = rows.where(f"season < {CURRENT}")
+    for delivery in (past, rows, past):
+        delivery.write.mode("append").parquet(source)
+        late = import_by_event_time(i.spark, source, rows.schema, keys, target, progress)
+    stored = i.spark.read.schema(rows.schema).parquet(target).select(*rows.columns)
+    return stored.withColumn("late", F.lit(late).cast("long"))

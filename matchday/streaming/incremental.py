@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 from pyspark.sql.utils import AnalysisException
 
+from matchday.functions.projections import q
 from matchday.operators.joins import distinct_periods, unseen_periods
 
 
@@ -67,3 +71,61 @@ def import_stream(
     if redelivered == "drop" and written:
         arrived = distinct_periods(spark.read.schema(schema).parquet(target))
         arrived.repartition(1).write.mode("append").parquet(list_path)
+
+
+#: Periods of a season that event time makes room for, and the name of that time.
+PERIODS_OF_SEASON, EVENT_TIME = 64, "__period_time"
+
+
+def period_time(season: str = "season", week: str = "week") -> Column:
+    """The period as a time: a day for each, so that a watermark can be counted in periods.
+
+    Times only order the periods. A season has room for more weeks than any calendar has, so the distance over
+    the end of a season is larger than within it.
+    """
+    number = q(season).cast("long") * PERIODS_OF_SEASON + q(week).cast("long")
+    return F.timestamp_seconds(number * 86_400)
+
+
+def import_by_event_time(
+    spark: SparkSession,
+    source: str,
+    schema: StructType,
+    keys: Sequence[str],
+    target: str,
+    checkpoint: str,
+    open_periods: int = 4,
+    files_per_batch: int | None = None,
+) -> int:
+    """Append what waits in ``source`` to ``target``, each key of a period once, then stop; returns the rows that came too late.
+
+    A period stays open until one that is more than ``open_periods`` later has been seen in an earlier batch. While it is
+    open its rows are told apart by ``keys``, within a run and between runs: the state holds the keys of open periods and
+    nothing else, so it does not grow with the table. Rows of a closed period are late, whether delivered
+    again or for the first time, and are dropped and counted. A new season closes every period of the one
+    before, but for the batch that brings it. Of rows with equal keys in one batch any one stays. Null keys are keys of
+    their own; rows without season or week belong to no period and are refused.
+
+    The state is kept under ``checkpoint`` and survives restarts. A batch writes a partition of its own, replaced
+    when it is repeated. Large states want the session's RocksDB state store provider. Late rows
+    are those of the batches that the session keeps progress of (``spark.sql.streaming.numRecentProgressUpdates``, 100).
+    """
+    def write_batch(batch: DataFrame, batch_id: int) -> None:
+        rows = batch.select(*[q(f.name) for f in schema.fields])
+        rows.write.mode("overwrite").parquet(f"{target}/batch={batch_id}")
+
+    arriving = spark.readStream.schema(schema)
+    if files_per_batch:
+        arriving = arriving.option("maxFilesPerTrigger", files_per_batch)
+    whole = F.when(q("season").isNull() | q("week").isNull(), F.raise_error(F.lit("a row has no period"))).otherwise(period_time())
+    timed = arriving.parquet(source).withColumn(EVENT_TIME, whole.cast("timestamp"))
+    # Spark counts a time at the watermark as late, so it stays an hour behind the last open period
+    unique = timed.withWatermark(EVENT_TIME, f"{24 * open_periods + 1} hours").dropDuplicates([EVENT_TIME, *keys])
+    query = (
+        unique.writeStream.foreachBatch(write_batch)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
+    query.awaitTermination()
+    return sum(s["numRowsDroppedByWatermark"] for p in query.recentProgress for s in p["stateOperators"])

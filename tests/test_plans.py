@@ -71,3 +71,25 @@ def test_no_cartesian_products(inputs):
         plan = planned(df)
         assert "CartesianProduct" not in plan and "NestedLoop" not in plan
         assert "PythonUDF" not in plan and "InPandas" not in plan
+
+
+def test_density_moves_bins_and_agrees_with_the_sum_over_values(spark):
+    import math
+    import random
+
+    from matchday.operators.describe import density
+
+    draw = random.Random(5)
+    values = [draw.gauss(0, 1) for _ in range(3000)] + [draw.gauss(60, 0.1) for _ in range(40)] + [None, 7.5, 7.5]
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    known = [v for v in values if v is not None]
+    mean = sum(known) / len(known)
+    width = math.sqrt(sum((v - mean) ** 2 for v in known) / (len(known) - 1)) * len(known) ** -0.2
+    found = {r["point"]: r for r in density(df, "v", 50).collect()}
+    assert len(found) == 50
+    for r in found.values():
+        exact = sum(math.exp(-0.5 * ((r["x"] - v) / width) ** 2) for v in known) / (len(known) * width * math.sqrt(2 * math.pi))
+        assert abs(r["density"] - exact) < 1e-11
+    # a value range without spread has no density, no values have no grid
+    assert {r["density"] for r in density(spark.createDataFrame([(2.0,), (2.0,)], "v double"), "v", 5).collect()} == {None}
+    assert density(df.limit(0), "v", 5).count() == 0

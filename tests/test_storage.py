@@ -7,7 +7,7 @@ from pyspark.errors import AnalysisException
 
 from matchday.operators.joins import distinct_periods, unseen_periods
 from matchday.sources import feeds, sinks
-from matchday.streaming.incremental import import_stream
+from matchday.streaming.incremental import import_by_event_time, import_stream
 from matchday.workspace import materialise, new_folder
 
 from .helpers import rows
@@ -215,3 +215,39 @@ def test_appends_with_other_columns(spark, table):
     with pytest.raises(ValueError, match="c is stored as string"):
         sinks.append_evolving(spark.createDataFrame([(1, 5)], "a int, c int"), path)
     assert rows(sinks.read_evolving(spark, path)) == [(1, 2.0, "x", None), (2**40, 0.5, None, True)]
+
+
+def by_event_time(spark, deliveries, **more):
+    """What is stored after each delivery, and how many rows came too late."""
+    source, target, progress = (new_folder(spark, n) for n in ("in", "out", "progress"))
+    found = []
+    for delivery in deliveries:
+        delivery.coalesce(1).write.mode("append").parquet(source)
+        late = import_by_event_time(spark, source, delivery.schema, ["v"], target, progress, **more)
+        found.append((rows(spark.read.schema(delivery.schema).parquet(target).select("season", "week", "v")), late))
+    return found
+
+
+def test_event_time_keeps_a_row_once_within_and_between_runs(spark):
+    first, second = by_event_time(spark, [frame(spark, (2000, 1, 1), (2000, 1, 1), (2000, 2, 1)), frame(spark, (2000, 2, 1), (2000, 1, 2), (2000, 3, 1))])
+    assert first == ([(2000, 1, 1), (2000, 2, 1)], 0)
+    assert second == ([(2000, 1, 1), (2000, 1, 2), (2000, 2, 1), (2000, 3, 1)], 0)
+
+
+def test_event_time_closes_periods_that_the_watermark_passed(spark):
+    found = by_event_time(spark, [frame(spark, (2000, 1, 1), (2000, 6, 1)), frame(spark, (2000, 1, 1), (2000, 3, 7), (2000, 4, 7))], open_periods=2)
+    # weeks 1 and 3 are more than two before week 6, delivered again or not
+    assert found[1] == ([(2000, 1, 1), (2000, 4, 7), (2000, 6, 1)], 2)
+    # the next season closes all of the last one, but not for the batch that brings it
+    found = by_event_time(spark, [frame(spark, (2000, 21, 1)), frame(spark, (2000, 22, 1), (2001, 1, 1)), frame(spark, (2000, 22, 2))], open_periods=2)
+    assert found[1] == ([(2000, 21, 1), (2000, 22, 1), (2001, 1, 1)], 0)
+    assert found[2] == (found[1][0], 1)
+
+
+def test_event_time_refuses_rows_without_a_period_and_tells_null_keys_apart(spark):
+    kind = frame(spark, (2000, 1, 1)).schema
+    odd = spark.createDataFrame([(2000, 1, None), (2000, 1, None), (2000, 2, None)], kind)
+    assert by_event_time(spark, [odd])[0] == ([(2000, 1, None), (2000, 2, None)], 0)
+    with pytest.raises(Exception, match="a row has no period"):
+        by_event_time(spark, [spark.createDataFrame([(2000, None, 1)], kind)])
+    assert by_event_time(spark, [frame(spark, (2000, 1, 1)), spark.createDataFrame([], kind)])[1] == ([(2000, 1, 1)], 0)
