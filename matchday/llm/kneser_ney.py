@@ -11,7 +11,7 @@ import pyarrow.parquet as pq
 from pyarrow import fs
 from pyspark.sql import DataFrame, functions as F
 
-from matchday.llm.common import in_small_batches, named
+from matchday.llm.common import in_small_batches, named, unit_draw
 from matchday.workspace import materialise, new_folder
 
 #: Bytes of an n-gram. Five fit a 64-bit key exactly; the tables below hold orders 1 to 5.
@@ -20,7 +20,10 @@ ORDER = 5
 BLOCK_BYTES = 24 << 20
 #: Bytes whose n-grams are sorted at a time.
 PIECE = 4 << 20
-MOST_SHARDS = 4096
+#: Most shards of the contexts, and blocks that ask a shard together. More blocks ask in groups, each with the shard's counts.
+MOST_SHARDS, GROUP = 4096, 2048
+#: Share of the trusted texts that set the thresholds instead of training the model.
+SET_APART = 1 / 8
 
 
 def grams_of(texts: list[bytes]) -> np.ndarray:
@@ -153,8 +156,8 @@ def _write_blocks(folder: str):
             with store.open_output_stream(name) as out:
                 pq.write_table(table.select(["text"]), out, compression="zstd", compression_level=6, use_dictionary=False, row_group_size=4096)
             rows = table.num_rows
-            columns = [pa.array([name] * rows), pa.array(range(rows), pa.int64()), *[table[c].combine_chunks() for c in ("id", "lang")]]
-            return pa.RecordBatch.from_arrays(columns, ["block", "place", "id", "lang"])
+            columns = [pa.array([name] * rows), pa.array(range(rows), pa.int64()), *[table[c].combine_chunks() for c in ("id", "lang", "apart")]]
+            return pa.RecordBatch.from_arrays(columns, ["block", "place", "id", "lang", "apart"])
 
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
@@ -202,7 +205,7 @@ def _count(folder: str, shards: int):
         block = key[0].as_py()
         texts = _texts(folder, block)
         trusted = np.zeros(len(texts), bool)
-        trusted[table["place"].to_numpy()] = table["trusted"].to_numpy(zero_copy_only=False)
+        trusted[table["place"].to_numpy()] = table["learned"].to_numpy(zero_copy_only=False)
         keys, counts = counted([t for t, k in zip(texts, trusted, strict=True) if k])
         others, _ = counted([t for t, k in zip(texts, trusted, strict=True) if not k])
         rows = {s: [s, block, None, _packed(keys[at]), counts[at].astype("<i8").tobytes()] for s, at in _split(keys, shards)}
@@ -216,11 +219,21 @@ def _count(folder: str, shards: int):
     return count
 
 
-def _merge(key: tuple, table: pa.Table) -> pa.Table:
-    """The counts of a shard, how many of its n-grams of each order occur 1 to 4 times, its pairs' continuation counts."""
+def _counts_of(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
     keys = [_unpacked(x) for x in table["keys"].to_pylist()]
     counts = [np.frombuffer(x, "<i8") for x in table["counts"].to_pylist()]
-    keys, counts = _summed(np.concatenate(keys), np.concatenate(counts))
+    return _summed(np.concatenate(keys), np.concatenate(counts))
+
+
+def _add(key: tuple, table: pa.Table) -> pa.Table:
+    """The counts that a group of blocks brings to a shard."""
+    keys, counts = _counts_of(table)
+    return pa.table({"shard": [key[0].as_py()], "keys": [_packed(keys)], "counts": [counts.astype("<i8").tobytes()]})
+
+
+def _merge(key: tuple, table: pa.Table) -> pa.Table:
+    """The counts of a shard, how many of its n-grams of each order occur 1 to 4 times, its pairs' continuation counts."""
+    keys, counts = _counts_of(table)
     times, own = [], (keys, counts)
     for length in range(ORDER, 2, -1):
         if length < ORDER:
@@ -264,16 +277,18 @@ def _score(folder: str):
             total[a:b] = sums[ends] - sums[ends - lengths]
         place = rows["place"].to_numpy()
         size = np.array([len(t) for t in texts], np.int64)
-        columns = [rows["id"], rows["lang"], rows["trusted"], pa.array(size[place]), pa.array(total[place])]
-        return pa.Table.from_arrays(columns, ["id", "lang", "trusted", "n_bytes", "bits"])
+        columns = [rows["id"], rows["lang"], rows["trusted"], rows["apart"], pa.array(size[place]), pa.array(total[place])]
+        return pa.Table.from_arrays(columns, ["id", "lang", "trusted", "apart", "n_bytes", "bits"])
 
     return score
 
 
-def perplexities(docs: DataFrame, trusted_ids: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
-    """One row per input row: id, lang, trusted, n_bytes, bits, perplexity.
+def perplexities(docs: DataFrame, trusted_ids: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", set_apart: float = 0.0) -> DataFrame:
+    """One row per input row: id, lang, trusted, apart, n_bytes, bits, perplexity.
 
-    ``trusted_ids`` has the ids whose texts train the model, all of them, with no bound. ``bits`` is
+    ``trusted_ids`` has the ids whose texts train the model, with no bound: all of them but the share
+    ``set_apart``, drawn by a hash of the text so that copies stay together. Those are ``apart``, scored by a model that
+    did not see them, and tell :func:`judged` how trusted texts score. ``bits`` is
     the text's negative log-probability to base 2, ``perplexity`` 2 ** (bits / n_bytes), null for a text
     without bytes. A null id is not trusted. Rows that repeat are scored each; columns other than the
     three are ignored, whatever their names. An empty table gives an empty result; without trusted text
@@ -283,7 +298,8 @@ def perplexities(docs: DataFrame, trusted_ids: DataFrame, id_col: str = "doc_id"
     block asks for the n-grams it has, and its trusted documents bring counts; both are cut into shards
     by context. A shard merges its counts, and joins them with what the blocks ask. All orders above
     two are complete within a shard; how many n-grams have which count, and the 65,536 pairs, are
-    summed over all shards. A block gets its answers and reads its texts again. Neither texts nor
+    summed over all shards. More than GROUP blocks bring and ask in groups, so neither side of a join grows with
+    their number. A block gets its answers and reads its texts again. Neither texts nor
     places of n-grams are shuffled, and a hot source, language or text is spread as the files are.
     """
     spark = docs.sparkSession
@@ -292,19 +308,24 @@ def perplexities(docs: DataFrame, trusted_ids: DataFrame, id_col: str = "doc_id"
     store, base = fs.FileSystem.from_uri(uri)
     store.create_dir(base, recursive=True)
     rows = in_small_batches(docs).select(named(id_col).alias("id"), named(lang_col).cast("string").alias("lang"), F.coalesce(named(text_col).cast("string"), F.lit("")).alias("text"))
+    rows = rows.withColumn("apart", unit_draw(F.col("text"), F.lit("apart")) < set_apart)
     kind = dict(rows.dtypes)["id"]
-    placed = materialise(rows.mapInArrow(_write_blocks(uri), f"block string, place long, id {kind}, lang string"), "quality-rows")
+    placed = materialise(rows.mapInArrow(_write_blocks(uri), f"block string, place long, id {kind}, lang string, apart boolean"), "quality-rows")
     good = trusted_ids.select(F.col(trusted_ids.columns[0]).alias("_good")).where("_good is not null").distinct()
     placed = placed.join(good, placed["id"] == good["_good"], "left").withColumn("trusted", F.col("_good").isNotNull()).drop("_good")
+    placed = placed.withColumn("learned", F.col("trusted") & ~F.col("apart")).withColumn("apart", F.col("trusted") & F.col("apart"))
     placed = materialise(placed, "quality-trusted")
     blocks = max(1, placed.select("block").distinct().count())
-    shards = min(MOST_SHARDS, max(16, 2 * blocks))
+    shards, groups = min(MOST_SHARDS, max(16, 2 * blocks)), -(-blocks // GROUP)
+    group = F.pmod(F.xxhash64("block"), F.lit(groups))
     # a row is small but its block is not: the number of tasks follows the blocks, not the bytes of the rows
     placed = placed.repartition(2 * blocks, "block")
-    parts = materialise(placed.select("block", "place", "trusted").groupBy("block").applyInArrow(_count(uri, shards), _PART), "quality-parts")
+    parts = materialise(placed.select("block", "place", "learned").groupBy("block").applyInArrow(_count(uri, shards), _PART), "quality-parts")
     kinds = "shard long, keys binary, counts binary, times array<long>, pairs array<long>, before array<long>"
-    counts = parts.where("keys is not null").select("shard", "keys", "counts").groupBy("shard").applyInArrow(_merge, kinds)
-    model = materialise(counts, "quality-model")
+    counts = parts.where("keys is not null")
+    if groups > 1:
+        counts = counts.withColumn("group", group).select("shard", "group", "keys", "counts").groupBy("shard", "group").applyInArrow(_add, "shard long, keys binary, counts binary")
+    model = materialise(counts.select("shard", "keys", "counts").groupBy("shard").applyInArrow(_merge, kinds), "quality-model")
     summed = model.select(F.posexplode("times").alias("place", "n")).groupBy("place").agg(F.sum("n").alias("n")).collect()
     by_place = dict.fromkeys(range(4 * (ORDER - 2)), 0) | {r.place: r.n for r in summed}
     times = {ORDER - i: np.array([by_place[4 * i + k] for k in range(4)]) for i in range(ORDER - 2)}
@@ -312,28 +333,35 @@ def perplexities(docs: DataFrame, trusted_ids: DataFrame, id_col: str = "doc_id"
     both = model.select(F.explode(F.arrays_zip("pairs", "before")).alias("x")).groupBy("x.pairs").agg(F.sum("x.before").alias("n"))
     for r in both.collect():  # at most 65,536 rows
         pairs[r[0]] = r.n
-    asked = parts.select("shard", "block", "wanted").groupBy("shard")
-    answer = asked.cogroup(model.select("shard", "keys", "counts").groupBy("shard")).applyInArrow(_answer(times, low_orders(pairs)), "block string, wanted binary, bits binary")
+    asked = parts.withColumn("group", group).select("shard", "group", "block", "wanted").groupBy("shard", "group")
+    told = model.select("shard", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(groups - 1).cast("long"))).alias("group"), "keys", "counts").groupBy("shard", "group")
+    answer = asked.cogroup(told).applyInArrow(_answer(times, low_orders(pairs)), "block string, wanted binary, bits binary")
     scored = placed.groupBy("block").cogroup(answer.groupBy("block"))
-    scored = scored.applyInArrow(_score(uri), f"id {kind}, lang string, trusted boolean, n_bytes long, bits double")
+    scored = scored.applyInArrow(_score(uri), f"id {kind}, lang string, trusted boolean, apart boolean, n_bytes long, bits double")
     return scored.withColumn("perplexity", F.when(F.col("n_bytes") > 0, F.pow(F.lit(2.0), F.col("bits") / F.col("n_bytes"))))
 
 
-def judged(scored: DataFrame, quantile: float = 0.99, slack: float = 1.15, prior: int = 100, accuracy: int = 10_000) -> DataFrame:
+def judged(scored: DataFrame, quantile: float = 0.98, slack: float = 0.1, widening: float = 2.0, prior: int = 200, accuracy: int = 10_000) -> DataFrame:
     """``scored`` plus shrunk, threshold and kept.
 
     A short text says little about itself, so ``shrunk`` is its perplexity together with ``prior`` bytes
     of the median trusted text of its language. The threshold of a language is the ``quantile`` of the
-    shrunk perplexities of its trusted texts, times ``slack``; a null language is one of its own. A text
-    is kept up to the threshold, if it has no bytes to judge, or if its language has no trusted text.
+    shrunk perplexities of its n trusted texts, times 1 + ``widening`` / n, since few texts say little about
+    their tail; a null language is one of its own. A text of few bytes may exceed it by up to ``slack``, a long one hardly. Where ``scored`` has texts that are ``apart``, they are the trusted texts
+    that count here, as the model did not learn from them. A text
+    is kept up to the threshold, if it has no bytes to judge, or if its language has no such text.
     """
     each = F.col("bits") / F.col("n_bytes")
     trusted = F.col("trusted") & (F.col("n_bytes") > 0)
+    if "apart" in scored.columns and not scored.where("apart").isEmpty():
+        trusted = trusted & F.col("apart")
     medians = scored.where(trusted).groupBy("lang").agg(F.percentile_approx(each, 0.5, accuracy).alias("_usual"))
     shrunk = F.pow(F.lit(2.0), (F.col("bits") + F.col("_usual") * prior) / (F.col("n_bytes") + prior))
     with_usual = _by_language(scored, medians).withColumn("shrunk", F.when(F.col("n_bytes") > 0, shrunk)).drop("_usual")
-    bounds = with_usual.where(trusted).groupBy("lang").agg((F.percentile_approx("shrunk", quantile, accuracy) * slack).alias("threshold"))
-    return _by_language(with_usual, bounds).withColumn("kept", F.coalesce(F.col("shrunk") <= F.col("threshold"), F.lit(True)))
+    bound = F.percentile_approx("shrunk", quantile, accuracy) * (1 + widening / F.count("shrunk"))
+    bounds = with_usual.where(trusted).groupBy("lang").agg(bound.alias("threshold"))
+    allowed = F.col("threshold") * (1 + slack * prior / (F.col("n_bytes") + prior))
+    return _by_language(with_usual, bounds).withColumn("kept", F.coalesce(F.col("shrunk") <= allowed, F.lit(True)))
 
 
 def _by_language(rows: DataFrame, table: DataFrame) -> DataFrame:

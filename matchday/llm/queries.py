@@ -39,7 +39,8 @@ def op3_flat_graph(spark: SparkSession, folder: str) -> DataFrame:
 
 def op4_kneser_ney(spark: SparkSession, folder: str) -> DataFrame:
     trusted = _table(spark, folder, "labels").where("quality = 1").select("doc_id")
-    found = kneser_ney.judged(materialise(kneser_ney.perplexities(_table(spark, folder, "documents"), trusted), "quality-scores"))
+    scored = kneser_ney.perplexities(_table(spark, folder, "documents"), trusted, set_apart=kneser_ney.SET_APART)
+    found = kneser_ney.judged(materialise(scored, "quality-scores"))
     return found.select(F.col("id").alias("doc_id"), "lang", "n_bytes", "perplexity", "shrunk", "threshold", "kept")
 
 

@@ -4,6 +4,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from matchday.llm import kneser_ney
 from matchday.llm.kneser_ney import ORDER, counted, discounts, grams_of, judged, perplexities
@@ -85,3 +86,29 @@ def test_thresholds_are_those_of_the_language(spark):
     found = {r.id: r.kept for r in judged(spark.createDataFrame(rows, "id long, lang string, trusted boolean, n_bytes long, bits double")).collect()}
     assert len(found) == len(rows)
     assert [i for i, kept in found.items() if not kept] == [200]
+
+
+def test_groups_of_blocks_change_nothing(spark, documents, monkeypatch):
+    monkeypatch.setattr(kneser_ney, "BLOCK_BYTES", 3000)
+    some = spark.createDataFrame([(int(r.doc_id), r.text[:600], r.lang) for r in documents.head(40).itertuples()], "doc_id long, text string, lang string")
+    good = spark.createDataFrame([(int(i),) for i in documents.doc_id.head(40)[::3]], "doc_id long")
+    one = {r.id: (r.trusted, r.n_bytes, r.bits) for r in perplexities(some, good).collect()}
+    monkeypatch.setattr(kneser_ney, "GROUP", 2)
+    for r in perplexities(some, good).collect():
+        assert (r.trusted, r.n_bytes) == one[r.id][:2] and r.bits == pytest.approx(one[r.id][2])
+
+
+def test_texts_set_apart_train_nothing_and_set_the_threshold(spark, documents):
+    texts = [t[:500] for t in documents.text.head(40)]
+    some = spark.createDataFrame([(i, t, "x") for i, t in enumerate(texts + texts[:5])], "doc_id long, text string, lang string")
+    good = spark.range(45).toDF("doc_id")
+    found = {r.id: r for r in perplexities(some, good, set_apart=0.3).collect()}
+    apart = [i for i, r in found.items() if r.apart]
+    # copies stay together, and the model is the one of the others alone
+    assert 0 < len(apart) < 30 and all(found[i].apart == found[40 + i].apart for i in range(5))
+    others = good.where(~F.col("doc_id").isin(apart))
+    for r in perplexities(some, others).collect():
+        assert r.bits == pytest.approx(found[r.id].bits)
+    scored = [("a", True, True, 1000, 4000.0), ("b", True, True, 1000, 4050.0), ("c", True, False, 1000, 2000.0), ("d", False, False, 1000, 4200.0), ("e", False, False, 1000, 8000.0)]
+    frame = spark.createDataFrame([(i, "en", *rest) for i, *rest in scored], "id string, lang string, trusted boolean, apart boolean, n_bytes long, bits double")
+    assert sorted(r.id for r in judged(frame).collect() if not r.kept) == ["e"]
