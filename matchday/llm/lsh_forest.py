@@ -7,7 +7,8 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, functions as F
+from pyspark import TaskContext
+from pyspark.sql import DataFrame, Window, functions as F
 
 from matchday.llm.common import components, in_small_batches, leave_one, named, text_key
 from matchday.workspace import materialise
@@ -16,6 +17,9 @@ from matchday.workspace import materialise
 SHINGLE, SIMILARITY = 5, 0.8
 #: Tries of the forest, minima along a trie, and the probability with which a pair at SIMILARITY must be found.
 TREES, DEPTH, RECALL = 20, 8, 0.999
+#: Bytes of a digit of a path, and of a path: the number of its trie, then a digit for each minimum.
+DIGIT = 2
+PATH = DIGIT * (1 + DEPTH)
 #: Texts that one task compares with as many others. Larger groups of candidates are compared block by block.
 BLOCK = 2048
 #: Shingles whose minima are taken at a time.
@@ -73,35 +77,104 @@ def signature(shingle_set: np.ndarray) -> np.ndarray:
     return least
 
 
-def prefixes(minima: np.ndarray, depth: int) -> np.ndarray:
-    """The node at ``depth`` of each trie, as a hash of the path to it."""
-    paths = minima.reshape(TREES, DEPTH)[:, :depth]
-    total = np.arange(TREES, dtype=np.uint64)
-    for i in range(depth):
-        total = _mixed(total * np.uint64(0x9E3779B97F4A7C15) + paths[:, i])
-    return total.astype(np.int64)
+def paths(minima: np.ndarray) -> np.ndarray:
+    """The path of a signature in each trie, a row of digits: the number of the trie, then 16 bits of each minimum."""
+    digits = (_mixed(minima) >> np.uint64(48)).reshape(TREES, DEPTH)
+    return np.column_stack([np.arange(TREES, dtype=np.uint64), digits]).astype(">u2")
+
+
+def has_room(size: int, similarity: float = SIMILARITY) -> bool:
+    """Whether a set of this size can be similar to another than itself: one shingle more must still do."""
+    return size >= similarity * (size + 1) - 1e-9
 
 
 def _fingerprint(shingle_set: np.ndarray) -> bytes | None:
     return xxhash.xxh3_128_digest(shingle_set.tobytes()) if len(shingle_set) else None
 
 
-def _tag(depth: int):
+def _tag(similarity: float):
     def tag(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, max(1, batch.num_rows), 1000):
                 some = batch.slice(at, 1000)
                 sets = [shingles(t) for t in some.column("text").to_pylist()]
-                nodes = [prefixes(signature(s), depth) if len(s) else np.zeros(0, np.int64) for s in sets]
-                offsets = np.concatenate([[0], np.cumsum([len(n) for n in nodes])]).astype(np.int32)
-                values = np.concatenate([np.zeros(0, np.int64), *nodes])
-                columns = [some.column("id"), some.column("key"), pa.array([_fingerprint(s) for s in sets], pa.binary())]
-                columns.append(pa.ListArray.from_arrays(pa.array(offsets), pa.array(values, pa.int64())))
-                yield pa.RecordBatch.from_arrays(columns, ["id", "key", "print", "nodes"])
+                found = [paths(signature(s)).tobytes() if len(s) and has_room(len(s), similarity) else None for s in sets]
+                columns = [some.column("id"), some.column("key"), pa.array([_fingerprint(s) for s in sets], pa.binary()), pa.array(found, pa.binary())]
+                yield pa.RecordBatch.from_arrays(columns, ["id", "key", "print", "paths"])
 
     return tag
 
 
+def climbed(digits: np.ndarray, shortest: int) -> tuple[np.ndarray, np.ndarray]:
+    """(head, depth) of each of the sorted paths: the row it is tied to, and over how many minima.
+
+    A path shares its longest prefix with the one before it, and is tied to the first path with that
+    prefix; only this head goes on to shorter prefixes for it, until less than ``shortest`` minima are
+    left. So all paths below a node of that depth are tied together, each by its longest match. The
+    head of a path that is tied to none is itself, at depth 0.
+    """
+    places = np.arange(len(digits))
+    same = np.zeros(len(digits), np.int64)
+    same[1:] = np.cumprod(digits[1:] == digits[:-1], axis=1).sum(1)
+    head, depth = places.copy(), np.maximum(same - 1, 0)
+    depth[depth < shortest] = 0
+    for d in range(shortest, DEPTH + 1):
+        begins = np.maximum.accumulate(np.where(same < d + 1, places, 0))
+        head = np.where(depth == d, begins, head)
+    return head, depth
+
+
+def _climb(shortest: int):
+    def climb(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def rows(text: list, head: list, depth: np.ndarray, part: int | None, first: bytes | None, last: bytes | None) -> pa.RecordBatch:
+            columns = [pa.array(text, pa.binary()), pa.array(head, pa.binary()), pa.array(depth, pa.int32())]
+            columns += [pa.array([part] * len(text), pa.int32()), pa.array([first] * len(text), pa.binary()), pa.array([last] * len(text), pa.binary())]
+            return pa.RecordBatch.from_arrays(columns, ["text", "head", "depth", "part", "first", "last"])
+
+        # the heads above the last path go on to the next batch, and the last path itself
+        kept: list[tuple[bytes, bytes]] = []
+        first = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            ahead = len(kept)
+            path = [p for p, _ in kept] + batch.column("path").to_pylist()
+            text = [t for _, t in kept] + batch.column("print").to_pylist()
+            first = first or (path[0], text[0])
+            digits = np.frombuffer(b"".join(path), ">u2").reshape(len(path), 1 + DEPTH)
+            head, depth = climbed(digits, shortest)
+            new = np.flatnonzero(depth)
+            new = new[new >= ahead]
+            yield rows([text[i] for i in new], [text[i] for i in head[new]], depth[new], None, None, None)
+            shared = np.cumprod(digits == digits[-1], axis=1).sum(1)
+            begins = {int(np.argmax(shared >= d + 1)) for d in range(shortest, DEPTH + 1)}
+            kept = [(path[i], text[i]) for i in sorted(begins | {len(path) - 1})]
+        if first:
+            yield rows([first[1]], [kept[-1][1]], np.zeros(1, np.int32), TaskContext.get().partitionId(), first[0], kept[-1][0])
+
+    return climb
+
+
+def tied(texts: DataFrame, shortest: int) -> DataFrame:
+    """(a, b): prints of ``texts`` (print, paths) that share at least ``shortest`` minima in some trie.
+
+    One sort lays out all tries: equal prefixes are neighbours, and :func:`climbed` ties each path within
+    its partition. A node that holds many texts is cut by the sort like any other; where a node goes
+    on in the next partition, its last path there and its first path here are tied.
+    """
+    tree = F.explode(F.sequence(F.lit(0), F.lit(TREES - 1))).alias("tree")
+    entries = texts.where("paths is not null").select("print", "paths", tree)
+    entries = entries.select(F.substring("paths", F.col("tree") * PATH + 1, F.lit(PATH)).alias("path"), "print")
+    found = entries.orderBy("path", "print").mapInArrow(_climb(shortest), "text binary, head binary, depth int, part int, first binary, last binary")
+    found = materialise(found, "near-tries")
+    # a row for each task of the sort
+    order = Window.orderBy("part")
+    ends = found.where("part is not null").select("text", "first", F.lag("last").over(order).alias("before"), F.lag("head").over(order).alias("other"))
+    node = [F.substring(c, 1, DIGIT * (1 + shortest)) for c in ("first", "before")]
+    stitched = ends.where(node[0] == node[1]).select("text", "other")
+    return found.where("depth > 0").select(F.col("text").alias("a"), F.col("head").alias("b")).union(stitched)
+
+
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         found = [s.tobytes() for s in map(shingles, batch.column("text").to_pylist())]
@@ -212,26 +285,25 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, recall: flo
     names; an empty table gives an empty result. ``key`` is the hash of the text, ``class_key`` names
     the class whatever its ids, and is null without words.
 
-    Rows with equal sets are one text with a weight. Each text is a path in every trie of the forest;
-    the prefix that must match is shortened until a pair at the threshold is found with ``recall``.
-    Texts below the same node are candidates: each is tied to the least of the node, and whatever is
-    tied together is compared by sets, in blocks of BLOCK texts. So no pair is emitted, every pair of
-    a node is compared (and those of tied nodes as well), and no text is linked without comparison.
+    Rows with equal sets are one text with a weight. Each text is a path in every trie of the forest,
+    and the tries lie sorted, so a text stands next to those with which it shares its longest prefix. It
+    is tied there, and the first text with that prefix goes on to shorter ones for both, until a pair at
+    the threshold is found with ``recall`` (see :func:`climbed`). Texts with so few shingles that no
+    other set is similar go no way at all. Whatever is tied together is compared by sets, in blocks of
+    BLOCK texts. So no pair is emitted, every pair below a node is compared (and those of tied nodes as
+    well), and no text is linked without comparison.
     """
     rows = in_small_batches(docs).select(named(id_col).alias("id"), named(text_col).cast("string").alias("text"))
     kind = dict(rows.dtypes)["id"]
     keyed = rows.withColumn("key", text_key(F.col("text")))
-    depth = depth_for(recall, similarity)
-    tagged = materialise(keyed.mapInArrow(_tag(depth), f"id {kind}, key long, print binary, nodes array<long>"), "near-rows")
-    nodes = tagged.where("print is not null").select("print", F.explode("nodes").alias("node")).distinct()
-    nodes = materialise(nodes, "near-nodes")
-    shared = nodes.groupBy("node").agg(F.min("print").alias("least"), F.count("*").alias("n")).where("n > 1")
-    ties = nodes.join(shared, "node").select(F.col("print").alias("a"), F.col("least").alias("b"))
-    groups = materialise(components(ties, "near-ties").select(F.col("node").alias("print"), "component"), "near-groups")
-    blocks = groups.groupBy("component").agg(F.ceil(F.count("*") / BLOCK).alias("blocks"))
+    tagged = materialise(keyed.mapInArrow(_tag(similarity), f"id {kind}, key long, print binary, paths binary"), "near-rows")
     # of each text one row brings its words
-    weights = tagged.where("print is not null").groupBy("print").agg(F.min(F.struct("id", "key")).alias("row"), F.count("*").alias("weight"), F.min("id").alias("id"))
+    row = F.min(F.struct("id", "key")).alias("row")
+    weights = tagged.where("print is not null").groupBy("print").agg(row, F.count("*").alias("weight"), F.min("id").alias("id"), F.min("paths").alias("paths"))
     weights = materialise(weights, "near-texts")
+    ties = tied(weights.select("print", "paths"), depth_for(recall, similarity))
+    groups = materialise(components(ties, "near-ties").select(F.col("node").alias("print"), "component"), "near-groups")
+    blocks = groups.groupBy("component").agg(F.ceil(F.count("*") / BLOCK).alias("blocks"))
     wanted = weights.join(groups, "print").join(blocks, "component")
     wanted = wanted.select("print", "component", "weight", "blocks", F.col("row.id").alias("_id"), F.col("row.key").alias("_key"))
     texts = keyed.join(wanted, F.col("id").eqNullSafe(F.col("_id")) & (F.col("key") == F.col("_key")))
@@ -249,7 +321,7 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, recall: flo
     of_class = materialise(of_class, "near-members")
     least = of_class.groupBy("component").agg(F.min("id").alias("class_id"))
     members = of_class.join(least, "component").select("print", "component", "class_id", (F.coalesce("links", F.lit(0)) + F.col("weight") - 1).alias("n_links"))
-    joined = tagged.join(members, "print", "left")
+    joined = tagged.drop("paths").join(members, "print", "left")
     wordless = F.col("print").isNull()
     class_id = F.when(wordless, F.col("id")).otherwise(F.col("class_id"))
     return joined.select(

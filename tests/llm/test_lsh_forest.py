@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 
 from matchday.llm import lsh_forest
-from matchday.llm.lsh_forest import depth_for, drop_near_duplicates, linked, near_duplicates, recall_at, shingles
+from matchday.llm.lsh_forest import DEPTH, TREES, climbed, depth_for, drop_near_duplicates, has_room, linked, near_duplicates, paths, recall_at, shingles, signature, tied
 
 
 def words(text):
@@ -98,3 +98,74 @@ def test_shingles_of_short_texts():
     assert len(shingles("a b")) == 1 and len(shingles("")) == len(shingles(None)) == 0
     assert len(shingles("a b c d e f")) == 2
     assert shingles("a b")[0] != shingles("b a")[0]
+
+
+def trie_rows(draw, n):
+    """Paths of one trie with few digits, so that many prefixes are shared, in order."""
+    digits = draw.integers(0, 3, (n, 1 + DEPTH)).astype(">u2")
+    digits[:, 0] = 0
+    return digits[np.lexsort(digits.T[::-1])]
+
+
+def test_paths_are_tied_by_their_longest_prefix():
+    digits = trie_rows(np.random.default_rng(5), 400)
+    head, depth = climbed(digits, 3)
+    rows = [tuple(r) for r in digits.tolist()]
+    for i, (h, d) in enumerate(zip(head, depth, strict=True)):
+        longest = max([k for k in range(DEPTH + 1) if i and rows[i][: 1 + k] == rows[i - 1][: 1 + k]], default=0)
+        if longest < 3:
+            assert (h, d) == (i, 0)
+        else:
+            assert d == longest and h == next(j for j in range(i) if rows[j][: 1 + d] == rows[i][: 1 + d])
+    # equal paths are answered by the whole path and go on to no shorter one
+    assert len(digits) > len(set(rows)) and all(depth[i] == DEPTH for i in range(1, len(rows)) if rows[i] == rows[i - 1])
+
+
+@pytest.mark.parametrize("partitions,batch", [(1, 10_000), (16, 7)])
+def test_ties_unite_the_texts_below_a_node(spark, partitions, batch):
+    """Nodes that go over the ends of batches and partitions, among them one that holds a third of all texts."""
+    draw, shortest = np.random.default_rng(11), 5
+    signatures = draw.integers(0, 2, (300, TREES * DEPTH)).astype(np.uint64)
+    signatures[::3, : DEPTH - 2] = 0
+    found = [paths(s) for s in signatures]
+    rows = [(i.to_bytes(16, "big"), p.tobytes()) for i, p in enumerate(found)] + [(b"none", None)]
+    before = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.execution.arrow.maxRecordsPerBatch", "spark.sql.adaptive.coalescePartitions.enabled")}
+    for key, value in zip(before, (partitions, batch, "false"), strict=True):
+        spark.conf.set(key, value)
+    try:
+        ties = [(int.from_bytes(r.a, "big"), int.from_bytes(r.b, "big")) for r in tied(spark.createDataFrame(rows, "print binary, paths binary"), shortest).collect()]
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+
+    def united(pairs):
+        top = list(range(300))
+        for a, b in pairs:
+            old, new = max(top[a], top[b]), min(top[a], top[b])
+            top = [new if t == old else t for t in top]
+        return top
+
+    nodes = {}
+    for i, p in enumerate(found):
+        for row in p.tolist():
+            nodes.setdefault(tuple(row[: 1 + shortest]), []).append(i)
+    assert max(map(len, nodes.values())) >= 100
+    together = [(a, below[0]) for below in nodes.values() for a in below]
+    assert united(ties) == united(together)
+    # no tie without a shared prefix
+    assert all(any(tuple(x[: 1 + shortest]) == tuple(y[: 1 + shortest]) for x, y in zip(found[a].tolist(), found[b].tolist(), strict=True)) for a, b in ties)
+
+
+def test_pairs_at_the_threshold_are_found():
+    """Sets at a similarity of 0.8 share enough minima in some trie, 0.999 of them."""
+    draw, depth, found = np.random.default_rng(2), depth_for(), 0
+    for _ in range(2000):
+        values = draw.integers(0, 2**63, 50, dtype=np.uint64)
+        a, b = paths(signature(np.unique(values[:45]))), paths(signature(np.unique(values[5:])))
+        assert len(a) == TREES
+        found += bool((a[:, : 1 + depth] == b[:, : 1 + depth]).all(1).any())
+    assert found >= 0.999 * 2000
+
+
+def test_small_sets_have_no_similar_others():
+    assert [has_room(n) for n in (1, 2, 3, 4, 50)] == [False, False, False, True, True]
