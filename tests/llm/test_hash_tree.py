@@ -1,9 +1,11 @@
 from __future__ import annotations
 
+import math
 import zlib
 from collections import Counter
 
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from matchday.llm import hash_tree
@@ -44,6 +46,34 @@ def test_weights_and_confined_movement(spark):
     assert {(r.t, r.l) for r in moved if r.t != r.l} <= {(0, 2), (1, 0), (1, 2)}
 
 
+def drawn(key, tree):
+    """The shard of a key by plain draws, level by level."""
+    node, path = tree, tree.name
+    while node.children:
+        draws = []
+        for child in node.children:
+            if child.total > 0:
+                mixed = xxhash.xxh64_intdigest(f"{path}/{child.name}".encode(), xxhash.xxh64_intdigest(key.encode(), 42))
+                draws.append((-math.log(((mixed >> 11) + 0.5) / 2**53) / child.total, child.name, child))
+        node = min(draws, key=lambda d: d[0])[2]
+        path = f"{path}/{node.name}"
+    return node.shard
+
+
+def test_every_row_goes_where_plain_draws_send_it(spark, odd):
+    uneven = Node("root", (
+        Node("a", (Node("r", (Node("s0", shard=0, weight=0.5), Node("s1", shard=1, weight=3))), Node("q", (Node("s4", shard=4, weight=0.0), Node("s5", shard=5)))), ),
+        Node("b", (Node("r", (Node("s2", shard=2, weight=4),)),)),
+    ))
+    for tree in (even_tree(8), grown(even_tree(8), 8), even_tree(5), uneven):
+        found = spark.range(-50, 3000).select("id", shard_of(F.col("id").cast("string"), tree).alias("shard")).collect()
+        assert {r.id: r.shard for r in found} == {i: drawn(str(i), tree) for i in range(-50, 3000)}
+    placed = place(odd, even_tree(8), grown(even_tree(8), 8)).collect()
+    for r in placed:
+        name = "null" if r.id is None else str(r.id)
+        assert (r.shard, r.grown_shard) == (drawn(name, even_tree(8)), drawn(name, grown(even_tree(8), 8)))
+
+
 def test_no_weight_is_refused():
     with pytest.raises(ValueError):
         shard_of(F.lit("x"), Node("root", (Node("s", shard=0, weight=0.0),)))

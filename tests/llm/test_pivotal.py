@@ -4,9 +4,10 @@ import re
 from collections import defaultdict
 
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
-from matchday.llm.pivotal import mix, mixed, rounded, source_targets
+from matchday.llm.pivotal import FAN_IN, mix, mixed, rounded, source_targets
 
 
 def shared_out(sizes, weights=(5, 2, 1), share=1.5, most=2.0):
@@ -59,6 +60,56 @@ def test_rounding_keeps_sums_and_expectation(spark):
         assert abs(sum(same) / len(same) - 0.3) < 0.09
 
 
+def hashed(level, *longs):
+    value = xxhash.xxh64_intdigest(level.to_bytes(4, "little", signed=True), 42)
+    for x in longs:
+        value = xxhash.xxh64_intdigest(x.to_bytes(8, "little", signed=True), value)
+    return value
+
+
+def unit(level, *longs):
+    return ((hashed(level, *longs) >> 11) + 0.5) / 2**53
+
+
+def folded_by_hand(rows):
+    """Which rows (id, salt, size, mass) of one group the tree of pivots takes, a pair at a time."""
+    takes, left, nodes, levels = {}, rows, -(-len(rows) // FAN_IN), 1
+    while len(rows) > FAN_IN**levels:
+        levels += 1
+    for level in range(levels):
+        dealt = defaultdict(list)
+        for r in left:
+            value = hashed(level, r[0], r[1])
+            dealt[(value - 2**64 if value >= 2**63 else value) % nodes].append(r)
+        left, nodes = [], -(-nodes // FAN_IN)
+        for items in dealt.values():
+            items.sort()
+            carry = items[0]
+            for other in items[1:]:
+                (i, s, size, mass), (j, t, wide, much) = carry, other
+                up, down = min(size - mass, much), min(mass, wide - much)
+                if unit(level, j, t, i, s) * (up + down) < down:
+                    mass, much = mass + up, much - up
+                    finished = (i, s, True) if size - carry[3] <= other[3] else (j, t, False)
+                else:
+                    mass, much = mass - down, much + down
+                    finished = (i, s, False) if carry[3] <= wide - other[3] else (j, t, True)
+                takes[finished[:2]] = finished[2]
+                carry = (j, t, wide, much) if finished[:2] == (i, s) else (i, s, size, mass)
+            left.append(carry)
+    for i, s, size, mass in left:
+        takes[i, s] = unit(-1, i, s) * size < mass
+    return takes
+
+
+def test_rounding_equals_a_fold_by_hand(spark):
+    # masses are eighths, so that sums are exact
+    rows = [(i // 2, 5 * (i % 2), float(i % 9 + 1), (i % 9 + 1) * ((i * 5) % 7 + 1) / 8) for i in range(2500)]
+    for some in (rows, rows[:1], rows[:32], rows[:33]):
+        frame = spark.createDataFrame([("s", *r) for r in some], "source string, id long, salt long, size double, mass double")
+        assert {(r.id, r.salt): r.takes for r in rounded(frame).collect()} == folded_by_hand(some)
+
+
 def test_odd_rows(odd, empty):
     found = mixed(odd).collect()
     assert len(found) == odd.count()
